@@ -62,6 +62,7 @@ def main(sf_dir, names):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
@@ -79,7 +80,7 @@ def main(sf_dir, names):
             else:
                 problem = f"no SQL, {query(spark, sf_dir).count()} rows"
         except Exception as error:  # report and go on with the next query
-            problem = f"{type(error).__name__}: {str(error)[:1500]}"
+            problem = f"{type(error).__name__}: {str(error)[:400]} ... {str(error)[-1800:]}"
         bad += problem is not None
         print(f"{'ok  ' if problem is None else 'DIFF'} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)
     print(f"{bad} to look at")
