@@ -11,14 +11,15 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from broadsheet.fixed_values import WHITESPACE, WHITESPACE_CLASS
-from broadsheet.functions.text import strip
+from broadsheet.fixed_values import WHITESPACE_CLASS
+from broadsheet.functions.text import bind, strip
 from broadsheet.functions.urls import absolute_url
 
 _NODE = "\x01"
 _JOIN = "\x02"
 _ATTRIBUTES = r"""((?:[^>"']++|"[^"]*"|'[^']*')*+)"""
 _HREF = r"""(?is)(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_REFERENCE = r"^(#[xX][0-9a-fA-F]{1,6}|#\d{1,7}|[A-Za-z][A-Za-z0-9]*);"
 # Comments, and elements whose content is no text of the page.
 _SILENT = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
 
@@ -28,23 +29,34 @@ def unescape(text: Column) -> Column:
     named = F.create_map(*(F.lit(part) for name, point in name2codepoint.items() for part in (name, chr(point))))
 
     def decode(piece: Column) -> Column:
-        name = F.regexp_extract(piece, r"^(#[xX][0-9a-fA-F]{1,6}|#\d{1,7}|[A-Za-z][A-Za-z0-9]*);", 1)
+        return bind(F.regexp_extract(piece, _REFERENCE, 1), lambda name: decode_named(piece, name))
+
+    def decode_named(piece: Column, name: Column) -> Column:
         rest = F.substr(piece, F.length(name) + 2)
-        number = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2)))
-        point = number.try_cast("int")
-        valid = (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
         return (
-            F.when(name == "", F.concat(F.lit("&"), piece))
-            .when(name == "amp", F.concat(F.lit("&"), rest))
-            .when(name.startswith("#"), F.when(valid, F.concat(char, rest)).otherwise(F.concat(F.lit("&"), piece)))
+            F.when(name == "amp", F.concat(F.lit("&"), rest))
+            .when(name == "", F.concat(F.lit("&"), piece))
+            .when(name.startswith("#"), F.coalesce(F.concat(_numbered(name), rest), F.concat(F.lit("&"), piece)))
             .when(name == "apos", F.concat(F.lit("'"), rest))
             .otherwise(F.coalesce(F.concat(F.try_element_at(named, name), rest), F.concat(F.lit("&"), piece)))
         )
 
-    pieces = F.split(text, "&")
-    tail = F.transform(F.slice(pieces, 2, F.size(pieces)), decode)
-    return F.when(text.contains("&"), F.concat(F.get(pieces, 0), F.array_join(tail, ""))).otherwise(text)
+    def decode_all(pieces: Column) -> Column:
+        tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode)
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))
+
+    return bind(text, lambda whole: F.when(whole.contains("&"), bind(F.split(whole, "&"), decode_all)).otherwise(whole))
+
+
+def _numbered(name: Column) -> Column:
+    """The character of ``#123`` or ``#x7b``, NULL for numbers that name none."""
+    number = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2)))
+
+    def char(point: Column) -> Column:
+        valid = (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
+
+    return bind(number.try_cast("int"), char)
 
 
 def keep_times(html: Column) -> Column:
@@ -55,15 +67,23 @@ def keep_times(html: Column) -> Column:
 
 def _link(piece: Column, page_url: Column) -> Column:
     """A piece that starts with a link: the link as ``[text](href)``, then the rest."""
-    whole = rf"(?is)^<a\b{_ATTRIBUTES}>(.*?)</a\s*>(.*)$"
-    attributes, inner, rest = (F.regexp_extract(piece, whole, i) for i in (1, 2, 3))
-    href = F.concat(*(F.regexp_extract(attributes, _HREF, i) for i in (1, 2, 3)))
-    text = F.regexp_replace(F.regexp_replace(inner, r"<[^>]*>", _JOIN), _NODE, _JOIN)
-    visible = strip(F.regexp_replace(F.replace(text, F.lit("&nbsp;"), F.lit(" ")), _JOIN, "")) != ""
-    linked = F.concat(
-        F.lit(f"{_NODE}[{_JOIN}"), text, F.lit(f"{_JOIN}]("), absolute_url(href, page_url), F.lit(f"){_NODE}"), rest
-    )
-    return F.when(attributes.rlike(_HREF) & visible, linked).otherwise(piece)
+
+    def rewrite(link: Column) -> Column:
+        attributes = F.regexp_extract(link, rf"(?is)^<a\b{_ATTRIBUTES}>", 1)
+        inner = F.regexp_extract(link, rf"(?is)^<a\b{_ATTRIBUTES}>(.*)</a\s*>$", 2)
+        text = F.regexp_replace(inner, f"<[^>]*>|{_NODE}", _JOIN)
+        return bind(attributes, lambda attrs: bind(text, lambda label: join(link, attrs, label)))
+
+    def join(link: Column, attributes: Column, label: Column) -> Column:
+        href = F.concat(*(F.regexp_extract(attributes, _HREF, i) for i in (1, 2, 3)))
+        target = bind(href, lambda value: absolute_url(value, page_url))
+        visible = strip(F.replace(F.replace(label, F.lit("&nbsp;"), F.lit(" ")), F.lit(_JOIN), F.lit(" "))) != ""
+        rest = F.substr(piece, F.length(link) + 1)
+        linked = F.concat(F.lit(f"{_NODE}[{_JOIN}"), label, F.lit(f"{_JOIN}]("), target, F.lit(f"){_NODE}"), rest)
+        return F.when(attributes.rlike(_HREF) & visible, linked).otherwise(piece)
+
+    whole = F.regexp_extract(piece, rf"(?is)^<a\b{_ATTRIBUTES}>.*?</a\s*>", 0)
+    return bind(whole, lambda link: F.when(link == "", piece).otherwise(rewrite(link)))
 
 
 def links_to_text(html: Column, page_url: Column) -> Column:
@@ -77,26 +97,31 @@ def page_text(html: Column, page_url: Column, times: bool = True) -> Column:
     quiet = F.regexp_replace(html, _SILENT, _NODE)
     marked = keep_times(quiet) if times else quiet
     flat = F.regexp_replace(links_to_text(marked, page_url), r"<[^>]*>", _NODE)
-    plain = unescape(flat)
-    space = f"[{WHITESPACE_CLASS}]*"
-    joined = F.regexp_replace(plain, f"{space}{_JOIN}{space}", "")
-    nodes = F.transform(F.split(joined, _NODE), lambda node: F.btrim(node, F.lit(WHITESPACE)))
+    nodes = F.transform(F.split(unescape(flat), _NODE), lambda node: strip(_joined(node)))
     return F.array_join(F.filter(nodes, lambda node: node != ""), "\n")
 
 
+def _joined(node: Column) -> Column:
+    """Put the parts of a link text together, without the white space between them."""
+    space = f"[{WHITESPACE_CLASS}]*"
+    return F.when(node.contains(_JOIN), F.regexp_replace(node, f"{space}{_JOIN}{space}", "")).otherwise(node)
+
+
 def page_links(html: Column, page_url: Column) -> Column:
     """``ARRAY<STRUCT<pos, text, href>>`` of the links with a text, in page order."""
-    marked = links_to_text(F.regexp_replace(html, _SILENT, _NODE), page_url)
+    return bind(links_to_text(F.regexp_replace(html, _SILENT, _NODE), page_url), _links)
+
+
+def _links(marked: Column) -> Column:
     pattern = rf"(?s){_NODE}\[{_JOIN}(.*?){_JOIN}\]\(([^{_NODE}]*)\){_NODE}"
     texts = F.regexp_extract_all(marked, F.lit(pattern), F.lit(1))
     hrefs = F.regexp_extract_all(marked, F.lit(pattern), F.lit(2))
-    space = f"[{WHITESPACE_CLASS}]*"
     return F.zip_with(
         texts,
         F.transform(hrefs, lambda href, at: F.struct(href.alias("href"), at.alias("at"))),
         lambda text, link: F.struct(
             link["at"].alias("pos"),
-            strip(F.regexp_replace(unescape(text), f"{space}{_JOIN}{space}", "")).alias("text"),
+            strip(_joined(unescape(text))).alias("text"),
             unescape(link["href"]).alias("href"),
         ),
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from broadsheet.functions.text import bind
+
 _LEADING_CONTROL = "".join(map(chr, range(0x21)))
 _SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*:"
 
@@ -30,10 +32,11 @@ def canonical_url(url: Column) -> Column:
 
 def domain_suffixes(domain: Column) -> Column:
     """``a.b.c`` gives ``[a.b.c, b.c, c]``: suffix membership becomes equality."""
-    labels = F.split(domain, r"\.")
-    return F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+    return bind(
+        F.split(domain, r"\."),
+        lambda labels: F.transform(
+            labels, lambda _, at: F.array_join(F.slice(labels, at + 1, F.size(labels)), ".")
+        ),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from broadsheet.fixed_values import HEADER_PHRASES, SOURCES
 from broadsheet.functions import html
 from broadsheet.functions.dates import DATE_IN_TEXT, parse_date, wall_clock
-from broadsheet.functions.text import contains_any, has_two_words, strip
+from broadsheet.functions.text import bind, contains_any, has_two_words, strip
 from broadsheet.operators.dedup import dedup_first
 from broadsheet.operators.lookup import fallback_content
 from broadsheet.operators.normalize import normalize
@@ -83,9 +83,15 @@ def harvest(contents: DataFrame, settings: Settings) -> DataFrame:
     text = F.col("content")
     if settings.max_page_chars is not None:
         text = F.substring(text, 1, settings.max_page_chars)
-    lines = F.split(text, "\n")
-    # F.get gives NULL behind the last line.
-    pairs = F.transform(lines, lambda line, at: F.struct(at.alias("pos"), line.alias("line"), F.get(lines, at + 1).alias("after")))
+
+    def with_next(lines: Column) -> Column:
+        # F.get gives NULL behind the last line.
+        return F.transform(
+            lines,
+            lambda line, at: F.struct(at.alias("pos"), line.alias("line"), F.get(lines, at + 1).alias("after")),
+        )
+
+    pairs = bind(F.split(text, "\n"), with_next)
     rows = contents.select("page_id", F.explode(pairs).alias("pair")).select("page_id", "pair.*")
     own = F.regexp_extract("line", DATE_IN_TEXT, 0)
     following = F.when(~F.col("after").rlike(_LINK), F.regexp_extract("after", DATE_IN_TEXT, 0))

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from broadsheet.functions.text import title_words
+from broadsheet.functions.text import bind, title_words
 from broadsheet.operators.rank import date_number, top
 from broadsheet.storage import Workspace
 
@@ -88,7 +88,7 @@ def _keyed(sets: DataFrame) -> DataFrame:
     n = F.size("words")
     need = F.ceil(n * 4 / 5).cast("int")
     words = F.col("words")
-    triples = F.when(n <= THREE_WORDS_UP_TO, _triples(F.slice(words, F.lit(1), n - need + 3)))
+    triples = F.when(n <= THREE_WORDS_UP_TO, bind(F.slice(words, F.lit(1), n - need + 3), _triples))
     singles = F.when(n >= ONE_WORD_FROM, F.transform(F.slice(words, F.lit(1), n - need + 1), lambda w: F.xxhash64(w)))
     none = F.array().cast("array<bigint>")
     keys = F.array_distinct(F.concat(F.coalesce(triples, none), F.coalesce(singles, none)))
