@@ -47,13 +47,63 @@ HEADER_PHRASES = ("published time", "updated at")
 DISCOVERY_PHRASES = ("United States", "China")
 DISCOVERY_DOMAINS = ("gov", "gov.cn", "reuters.com", "bloomberg.com", "foxnews.com", "cnbc.com")
 
-# State-media index pages; every other index page counts as an official page.
+# Official index pages, in reading order.
+OFFICIAL_PAGES = (
+    "https://www.state.gov/press-releases/",
+    "https://www.state.gov/countries-areas/china/",
+    "https://www.state.gov/countries-areas-archive/china/",
+    "https://www.state.gov/department-press-briefings/",
+    "https://www.dhs.gov/news-releases/press-releases",
+    "https://www.defense.gov/News/Press-Products/",
+    "https://www.commerce.gov/news/press-releases",
+    "https://www.whitehouse.gov/news/",
+    "https://home.treasury.gov/news/press-releases",
+    "https://ustr.gov/about-us/policy-offices/press-office/press-releases",
+    "https://china.usembassy-china.org.cn/news/",
+    "https://www.justice.gov/news/press-releases",
+    "https://chinaselectcommittee.house.gov/media/press-releases",
+    "https://www.uscc.gov/hearings-all",
+    "https://www.fmprc.gov.cn/eng/zy/jj/dstzgzz/dszs/",
+    "https://www.fmprc.gov.cn/eng/xw/fyrbt/",
+    "https://www.fmprc.gov.cn/eng/gjhdq_665435/3376_665447/3432_664920/3435_664926/",
+    "https://www.fmprc.gov.cn/eng/xw/zwbd/",
+    "https://english.mofcom.gov.cn/News/index.html",
+    "http://eng.mod.gov.cn/2025xb/N/T/index.html",
+    "http://eng.mod.gov.cn/2025xb/N/I/index.html",
+    "http://eng.mod.gov.cn/2025xb/N/JE/index.html",
+    "http://eng.mod.gov.cn/2025xb/P/index.html",
+    "http://english.www.gov.cn/news/",
+    "https://www.fmprc.gov.cn/mfa_eng/",
+    "https://en.ndrc.gov.cn/news/",
+    "http://www.arats.com.cn/yw/",
+    "https://www.gwytb.gov.cn/xwdt/",
+    "https://www.reuters.com/world/china/",
+    "https://www.bloomberg.com/china",
+    "https://www.foxnews.com/category/world/china",
+    "https://www.cnbc.com/china-politics/",
+    "https://www.scmp.com/news/china",
+)
+
+# State-media index pages; these are read without their times.
 STATE_MEDIA_PAGES = (
     "http://www.xinhuanet.com/english/world/index.htm",
     "http://en.people.cn/90785/index.html",
     "https://www.globaltimes.cn/china/politics/index.html",
 )
 
+# RSS feeds, in polling order.
+RSS_FEEDS = (
+    "https://www.miit.gov.cn/api-gateway/jpaas-plugins-web-server/front/rss/getinfo"
+    "?webId=8d828e408d90447786ddbe128d495e9e"
+    "&columnIds=d3e2bede1bc045e2875fc7161c01db7d,028da85b0dbd4c9cb96fd5f421cd32b8,"
+    "e4d6c56063fa4edca257cc2e24ad473c,161ae25e72be496f93cd1c1a79f5cc2b,ca517c97303b40cf80bd668b35f6148f",
+    "https://www.state.gov/feed/",
+    "https://www.defense.gov/DesktopModules/ArticleCS/RSS.ashx?ContentType=1&Site=945",
+    "https://ustr.gov/rss.xml",
+    "https://www.reutersagency.com/feed/?best-topics=china&post_type=best",
+    "https://www.cnbc.com/id/100727362/device/rss/rss.html",
+)
+
 # Source names in the order in which their items are merged.
 SOURCES = ("gdelt", "rss", "tavily", "google_news", "chinese_state_media", "official_scrape")
 

@@ -24,10 +24,13 @@ def url_domain(url: Column) -> Column:
 
 def canonical_url(url: Column) -> Column:
     """Url without query and fragment and with a lower-case scheme."""
-    base = F.regexp_replace(clean_url(url), r"(?s)[?#].*$", "")
-    base = F.when(base.endswith(";"), F.regexp_replace(base, r"^((?:.*/)?[^/;]*);$", "$1")).otherwise(base)
+    clean = clean_url(url)
+    base = F.regexp_replace(clean, r"(?s)[?#].*$", "")
+    # Rare: capitals in the scheme, or an empty parameter (a bare `;`) at the end of the path.
+    rare = clean.rlike(r"^[^:/?#]*[A-Z][^:/?#]*:|;(?:[?#]|$)")
+    trimmed = F.regexp_replace(base, r"^((?:.*/)?[^/;]*);$", "$1")
     scheme = F.regexp_extract(base, rf"^{_SCHEME}", 0)
-    return F.concat(F.lower(scheme), F.substr(base, F.length(scheme) + 1))
+    return F.when(rare, F.concat(F.lower(scheme), F.substr(trimmed, F.length(scheme) + 1))).otherwise(base)
 
 
 def domain_suffixes(domain: Column) -> Column:

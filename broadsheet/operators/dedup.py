@@ -16,7 +16,7 @@ from broadsheet.operators.rank import first_per_group
 from broadsheet.storage import Workspace
 
 # After this many rounds a remainder of at most TAIL_ROWS key pairs is walked in one task.
-TAIL_AFTER = 12
+TAIL_AFTER = 3
 TAIL_ROWS = 200_000
 
 
@@ -27,7 +27,7 @@ def dedup_first(df: DataFrame, key: Column | None = None, order: list[Column] |
 
 
 def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Keep rows in order whose keys are both new; memory is bounded by TAIL_ROWS."""
+    """Keep rows in order whose keys are both new; at most TAIL_ROWS pairs of digests in memory."""
     urls: set[str] = set()
     titles: set[str] = set()
     for batch in batches:
@@ -60,7 +60,9 @@ def greedy_keys(pairs: DataFrame, tail_after: int = TAIL_AFTER, tail_rows: int =
     done = 0
     while rows:
         if done >= tail_after and rows <= tail_rows:
-            tail = live.select("ord", "first", "second").repartition(1).sortWithinPartitions("ord")
+            # Digests in place of keys: a title can be of any length, the memory bound cannot.
+            tail = live.select("ord", F.sha2("first", 256).alias("first"), F.sha2("second", 256).alias("second"))
+            tail = tail.repartition(1).sortWithinPartitions("ord")
             kept_parts.append(tail.mapInPandas(_walk, "ord BIGINT"))
             break
         leads = live.groupBy("first").agg(F.min(F.struct("ord", "second")).alias("lead"))

@@ -44,14 +44,18 @@ def within_lookback(moment: Column, as_of: datetime, days: int, grain: str = "se
 
     ``grain='day'`` compares calendar days, which lets in the whole first day.
     """
+    return F.coalesce(_since(moment, as_of, days, grain), F.lit(False))
+
+
+def _since(moment: Column, as_of: datetime, days: int, grain: str) -> Column:
     cutoff = as_of - timedelta(days=days)
-    if grain == "day":
-        return F.coalesce(moment.cast("date") >= F.lit(cutoff.date()), F.lit(False))
-    return F.coalesce(moment >= wall_clock(cutoff), F.lit(False))
+    # A moment lies on or after a day exactly if it is not before that day's midnight.
+    return moment >= (F.lit(cutoff.date()) if grain == "day" else wall_clock(cutoff))
 
 
 def filter_lookback(df: DataFrame, column: str, as_of: datetime, days: int, grain: str = "second") -> DataFrame:
-    return df.filter(within_lookback(F.col(column), as_of, days, grain))
+    """Rows inside the window; a bare comparison, which the scan can take over."""
+    return df.filter(_since(F.col(column), as_of, days, grain))
 
 
 def filter_keywords(df: DataFrame, keywords: Sequence[str], columns: Sequence[str] = ("title", "url")) -> DataFrame:

@@ -16,7 +16,9 @@ from broadsheet.operators.triage import triage
 from broadsheet.operators.validate import judge_dates
 from broadsheet.plans import digest
 from broadsheet.sources import landing, reference
-from broadsheet.sources.articles import FEED_SETTINGS, landed_articles
+from broadsheet.sources.articles import FEED_SETTINGS, landed_articles, landed_stream
+from broadsheet.storage import Workspace
+from broadsheet.streaming import landing_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -618,7 +620,7 @@ def official_pages(spark, sf_dir):
 
 @query
 def state_media_pages(spark, sf_dir):
-    """The same pages read without their times: only urls can date an article."""
+    """The same pages read as state media, whose times are plain text; urls carry dates too."""
     dated = _dated_pages(spark, sf_dir).withColumn(
         "html", F.replace("html", F.lit('href="/item/'), F.lit('href="/2024/jan/29/item/'))
     )
@@ -647,3 +649,16 @@ def relevance_model(spark, sf_dir):
     examples = _table(spark, sf_dir, "documents").join(labels, "doc_id").select("text", "label")
     model = relevance.fit_relevance_model(examples)
     return relevance.score_relevance(_described(spark, sf_dir), relevance.model_scorer(model)).select("ord", "title")
+
+
+# --- streaming -------------------------------------------------------------------------------
+
+
+@query
+def stream_digest(spark, sf_dir):
+    """The feed landed by a stream, then deduplicated from the table it wrote."""
+    folder = Workspace(spark, "stream").path
+    raw = landed_stream(spark, sf_dir).drop("day")
+    landing_stream.land_articles(raw, FEED_SETTINGS, f"{folder}/articles", f"{folder}/progress").awaitTermination()
+    window = landing_stream.landed_window(spark, f"{folder}/articles", FEED_SETTINGS)
+    return dedup.dedup_greedy(window).select("ord", "title", "url", "seendate", "tier")

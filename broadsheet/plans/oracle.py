@@ -579,8 +579,7 @@ ranked AS (SELECT *, {domain('url')} AS domain, row_number() OVER (PARTITION BY
     f"SELECT title, url, domain, {stamp(parsed('date'))} AS seendate, {page_tier('domain')} AS tier FROM ranked WHERE n = 1",
 )
 ORACLE["state_media_pages"] = with_(
-    _HARVEST.replace("DATE '2024-01-20'", "DATE '2024-01-20'")
-    .replace("dated_pages AS (", "timed_pages AS (", 1)
+    _HARVEST.replace("dated_pages AS (", "timed_pages AS (", 1)
     .replace("FROM pages),", "FROM pages),\ndated_pages AS (SELECT page_id, url, replace(html, 'href=\"/item/', 'href=\"/2024/jan/29/item/') AS html FROM timed_pages),", 1)
     .replace("'(Date: \\1)'", "'\\1'")
     + f""",
@@ -595,3 +594,13 @@ ORACLE["relevance_rules"] = with_(
     f"SELECT ord, {SCORE} AS score, CASE WHEN {SCORE} >= 2 THEN 'YES' ELSE 'NO' END AS is_relevant, {MATCHED} AS reasoning FROM described",
 )
 ORACLE["relevant_articles"] = with_(DESCRIBED, f"SELECT ord, {MATCHED} AS reasoning FROM described WHERE {SCORE} >= 2")
+
+# --- streaming -------------------------------------------------------------------------------
+
+ORACLE["stream_digest"] = with_(
+    NORMALIZED
+    + ", windowed AS (SELECT * FROM articles WHERE seendate >= '20240124' OR seendate = '00000000'),"
+    + greedy("windowed"),
+    "SELECT ord, title, url, seendate, tier FROM windowed WHERE ord IN (SELECT ord FROM g_kept)",
+    recursive=True,
+)

@@ -39,9 +39,21 @@ def _pick(values: tuple[str, ...], index):
     return F.element_at(F.array(*map(F.lit, values)), (index + 1).cast("int"))
 
 
+DOCUMENT = "doc_id BIGINT, text STRING"
+
+
 def landed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_items(spark.read.schema(DOCUMENT).parquet(f"{sf_dir}/documents.parquet"))
+
+
+def landed_stream(spark: SparkSession, directory: str, pattern: str = "documents.parquet") -> DataFrame:
+    """The same items as a stream over the files of a directory."""
+    files = spark.readStream.schema(DOCUMENT).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", 1)
+    return as_items(files.parquet(directory))
+
+
+def as_items(docs: DataFrame) -> DataFrame:
     """Raw items: ord, title, url, seendate, api_source, reasoning, and the date as ``day``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     doc = F.col("doc_id")
     k = F.when(doc % 4 == 0, F.floor(doc / 2)).otherwise(doc)
     number = k % 30 + 1
