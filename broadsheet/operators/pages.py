@@ -93,7 +93,8 @@ def harvest(contents: DataFrame, settings: Settings) -> DataFrame:
 
     pairs = bind(F.split(text, "\n"), with_next)
     rows = contents.select("page_id", F.explode(pairs).alias("pair")).select("page_id", "pair.*")
-    own = F.regexp_extract("line", DATE_IN_TEXT, 0)
+    # The target of the link is no text; a date in it is found later, through the url.
+    own = F.regexp_extract(F.regexp_replace("line", _LINK, "$1"), DATE_IN_TEXT, 0)
     following = F.when(~F.col("after").rlike(_LINK), F.regexp_extract("after", DATE_IN_TEXT, 0))
     found = rows.filter(F.col("line").rlike(_LINK)).select(
         "page_id",

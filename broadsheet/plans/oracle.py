@@ -557,7 +557,7 @@ paired AS (SELECT page_id, line_no AS pos, line, lead(line) OVER (PARTITION BY p
 found AS (
   SELECT page_id, pos, trim(regexp_extract(line, '\[([^\]\n]+)\]\(([^)\n]+)\)', 1)) AS title,
     regexp_extract(line, '\[([^\]\n]+)\]\(([^)\n]+)\)', 2) AS url,
-    coalesce(nullif(regexp_extract(line, '{_CANDIDATE}'), ''),
+    coalesce(nullif(regexp_extract(regexp_replace(line, '\[([^\]\n]+)\]\(([^)\n]+)\)', '\1', 'g'), '{_CANDIDATE}'), ''),
       CASE WHEN NOT regexp_matches(after, '\[([^\]\n]+)\]\(([^)\n]+)\)') THEN regexp_extract(after, '{_CANDIDATE}') END, '') AS date
   FROM paired WHERE regexp_matches(line, '\[([^\]\n]+)\]\(([^)\n]+)\)')),
 harvest AS (
