@@ -8,13 +8,16 @@ The walk runs as rounds over tables, exact and without comparing all pairs of a
 
 1. Equal word sets fall together in a partial aggregation; only the best article of each can
    stay. Sets of up to three words have no other mirrors than equal sets.
-2. Each set gets keys from its rarest words such that any two mirrors share a key: combinations of
-   three words for sets up to 40 words, single words for larger ones. (Mirrors share at least 4/5
-   of the words of either set, so the prefixes of the two in a common word order overlap.)
-3. In each round the PIVOTS most authoritative live sets of a key are compared with the members of
-   that key. A set whose earlier members were all compared and none of which is similar is kept;
-   a set similar to a kept one is dropped; the others go on to the next round. A key shared by any
-   number of sets costs PIVOTS comparisons per member.
+2. Each set gets keys such that any two mirrors share one. For every size that a partner can have,
+   the two sizes fix how many words the mirrors must share. Where the larger set may have one word
+   more than that, the keys are the sets themselves and the sets without one word, so that sets
+   with a common key are mirrors. Otherwise they are combinations of three of the rarest words
+   (of two sets that share enough words, the beginnings in a common word order share three).
+   Sets of more than 40 words use single words of their rarest fifth.
+3. In each round the PIVOTS most authoritative live sets of a key are compared with the key's
+   members of the partner size. A set whose earlier members were all compared and none of which is
+   similar is kept; a set similar to a kept one is dropped; the others go on to the next round. A
+   key shared by any number of sets costs PIVOTS comparisons per member.
 """
 
 from __future__ import annotations
@@ -28,11 +31,13 @@ from broadsheet.functions.text import bind, title_words
 from broadsheet.operators.rank import date_number, top
 from broadsheet.storage import Workspace
 
-PIVOTS = 32
+PIVOTS = 8
 # A word in more than one in FREQUENT of the word occurrences sorts behind the others, by count.
 FREQUENT = 10_000
-THREE_WORDS_UP_TO = 40
-ONE_WORD_FROM = 32
+# Sets up to BY_SIZE words have keys per partner size; larger ones, and those that can have larger
+# partners, have single words as keys.
+BY_SIZE = 40
+SINGLES_FROM = 33
 
 
 def authority(domain: Column) -> Column:
@@ -68,31 +73,58 @@ def _rare_first(sets: DataFrame) -> DataFrame:
     return counted.groupBy("rank").agg(F.transform(ordered, lambda pair: pair["word"]).alias("words"))
 
 
-def _triples(prefix: Column) -> Column:
-    """All three-word combinations of a prefix of at most 11 words, as hashes."""
+def _triples(prefix: Column, tag: list[Column]) -> Column:
+    """Hashes of all three-word combinations of a short list of words."""
     n = F.size(prefix)
 
-    def third(i, j):
-        return F.transform(
-            F.slice(prefix, j + 1, n), lambda word: F.xxhash64(F.element_at(prefix, i), F.element_at(prefix, j), word)
-        )
+    def third(i: Column, j: Column) -> Column:
+        first, second = F.element_at(prefix, i), F.element_at(prefix, j)
+        return F.transform(F.slice(prefix, j + 1, n), lambda word: F.xxhash64(*tag, first, second, word))
 
-    def second(i):
+    def second(i: Column) -> Column:
         return F.flatten(F.transform(F.sequence(i + 1, n - 1), lambda j: third(i, j)))
 
-    return F.when(n >= 3, F.flatten(F.transform(F.sequence(F.lit(1), n - 2), second)))
+    return F.flatten(F.transform(F.sequence(F.lit(1), n - 2), second))
+
+
+def _keys_for(words: Column, n: Column, partner: Column) -> Column:
+    """Keys that a set of n words shares with each of its mirrors of ``partner`` words."""
+    smaller, larger = F.least(n, partner), F.greatest(n, partner)
+    tag = [smaller, larger]
+    common = F.ceil((n + partner) * 8 / 18).cast("int")
+    spare = n - common
+    without_one = F.transform(
+        F.sequence(F.lit(1), n),
+        lambda i: F.xxhash64(*tag, F.concat(F.slice(words, F.lit(1), i - 1), F.slice(words, i + 1, n))),
+    )
+    return (
+        F.when(larger - common > 1, bind(F.slice(words, F.lit(1), spare + 3), lambda prefix: _triples(prefix, tag)))
+        .when(spare == 0, F.array(F.xxhash64(*tag, words)))
+        .otherwise(without_one)
+    )
 
 
 def _keyed(sets: DataFrame) -> DataFrame:
-    """One row per key of each set of four words or more."""
-    n = F.size("words")
-    need = F.ceil(n * 4 / 5).cast("int")
-    words = F.col("words")
-    triples = F.when(n <= THREE_WORDS_UP_TO, bind(F.slice(words, F.lit(1), n - need + 3), _triples))
-    singles = F.when(n >= ONE_WORD_FROM, F.transform(F.slice(words, F.lit(1), n - need + 1), lambda w: F.xxhash64(w)))
-    none = F.array().cast("array<bigint>")
-    keys = F.array_distinct(F.concat(F.coalesce(triples, none), F.coalesce(singles, none)))
-    return sets.select("rank", "words", F.explode(keys).alias("key"))
+    """rank, words, key, size, partner: one row per key of each set of four words or more."""
+    words, n = F.col("words"), F.size("words")
+    fewest = F.ceil(n * 4 / 5).cast("int")
+    most = F.least(F.floor(n * 5 / 4).cast("int"), F.lit(BY_SIZE))
+
+    def of_partner(m: Column) -> Column:
+        keys = F.array_distinct(_keys_for(words, n, m))
+        return F.transform(keys, lambda key: F.struct(key.alias("key"), n.alias("size"), m.alias("partner")))
+
+    by_size = F.when(n <= BY_SIZE, F.flatten(F.transform(F.sequence(fewest, most), of_partner)))
+    any_size = F.lit(0)
+    singles = F.when(
+        n >= SINGLES_FROM,
+        F.transform(
+            F.slice(words, F.lit(1), n - fewest + 1),
+            lambda word: F.struct(F.xxhash64(word).alias("key"), any_size.alias("size"), any_size.alias("partner")),
+        ),
+    )
+    keys = F.when(n < SINGLES_FROM, by_size).when(n > BY_SIZE, singles).otherwise(F.concat(by_size, singles))
+    return sets.select("rank", "words", F.explode(keys).alias("key")).select("rank", "words", "key.*")
 
 
 def kept_sets(sets: DataFrame, pivots: int = PIVOTS) -> DataFrame:
@@ -101,20 +133,28 @@ def kept_sets(sets: DataFrame, pivots: int = PIVOTS) -> DataFrame:
     sets = work.write(sets)
     alone = sets.filter(F.size("words") < 4).select("rank")
     keyed = _keyed(_rare_first(sets.filter(F.size("words") >= 4)))
-    # A key of one set only leads nowhere; a set without shared keys is kept at once.
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("key")
-    live, rows = work.write_counted(keyed.join(shared, "key", "left_semi"))
+    # A key leads nowhere without a member of the partner size; a set without shared keys is kept.
+    sizes = keyed.groupBy("key").agg(
+        F.min("size").alias("low"),
+        F.max("size").alias("high"),
+        F.max("partner").alias("partner"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    one_size = (F.col("high") == F.col("partner")) & (F.col("n") > 1)
+    shared = sizes.filter((F.col("low") != F.col("high")) | one_size)
+    live, rows = work.write_counted(keyed.join(shared.select("key"), "key", "left_semi"))
     crowd = live.select("rank").distinct()
     kept_parts = [alone, sets.filter(F.size("words") >= 4).select("rank").join(crowd, "rank", "left_anti")]
     while rows:
-        best = Window.partitionBy("key").orderBy("rank")
+        best = Window.partitionBy("key", "size").orderBy("rank")
         leads = live.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= pivots)
-        leads = leads.groupBy("key").agg(
+        leads = leads.groupBy("key", F.col("size").alias("partner")).agg(
             F.array_sort(F.collect_list(F.struct("rank", "words"))).alias("leads")
         )
-        placed = live.join(leads, "key")
+        # Outer: the partners of a key may all be decided while the set itself is not.
+        placed = live.join(leads, ["key", "partner"], "left")
         last = F.element_at("leads", -1)["rank"]
-        open_end = (F.size("leads") == pivots) & (F.col("rank") > last)
+        open_end = F.coalesce((F.size("leads") == pivots) & (F.col("rank") > last), F.lit(False))
         before = F.filter(
             "leads", lambda lead: (lead["rank"] < F.col("rank")) & similar(lead["words"], F.col("words"))
         )
@@ -132,7 +172,7 @@ def kept_sets(sets: DataFrame, pivots: int = PIVOTS) -> DataFrame:
         edges = state.select("rank", F.explode("mirrors").alias("mirror"))
         dropped = edges.join(kept.withColumnRenamed("rank", "mirror"), "mirror", "left_semi").select("rank").distinct()
         decided = kept.unionByName(dropped)
-        live, rows = work.write_counted(live.join(decided, "rank", "left_anti").select("rank", "words", "key"))
+        live, rows = work.write_counted(live.join(decided, "rank", "left_anti").select(*live.columns))
     return reduce(DataFrame.unionByName, kept_parts)
 
 
