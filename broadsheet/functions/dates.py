@@ -127,25 +127,32 @@ def month_name_timestamp(text: Column, as_of: datetime) -> Column:
 
 def date_from_text(text: Column, as_of: datetime) -> Column:
     """Date of a string. Any string with ``0000`` counts as undated, on-the-hour stamps included."""
-    usable = (text != "") & (text != "Unknown") & ~text.contains("0000")
-    return F.when(
-        usable,
-        F.coalesce(mail_timestamp(text), numeric_timestamp(text), month_name_timestamp(text, as_of)),
-    )
+
+    def read(value: Column) -> Column:
+        usable = (value != "") & (value != "Unknown") & ~value.contains("0000")
+        steps = mail_timestamp(value), numeric_timestamp(value), month_name_timestamp(value, as_of)
+        return F.when(usable, F.coalesce(*steps))
+
+    return bind(text, read)
 
 
 def date_from_url(url: Column) -> Column:
     """Date in a url path: ``/2026/05/11/`` also with dashes, ``/2026/may/11``, ``/20260511/``."""
-    lower = F.lower(url)
     numbers = r"[/-](\d{4})[/-](\d{1,2})[/-](\d{1,2})"
     closed_first = rf"(?s)^(?:.*?{numbers}[/-]|.*?{numbers})"
     named = r"(?s)^(?:.*?[/-](\d{4})/([a-z]{3})[a-z]{0,6}/(\d{1,2})|.*?[/-](\d{4})/([a-z]{3})[a-z]{0,6}[/-])"
-    by_name = F.regexp_replace(_rewrite(lower, named, "$2$5|$1$4-@-$3"), "-$", "-1")
-    return F.coalesce(
-        _timestamp(_rewrite(lower, closed_first, "$1$4-$2$5-$3$6")),
-        _named_month(by_name),
-        _timestamp(_rewrite(lower, r"[/-](\d{4})(\d{2})(\d{2})[/-]", "$1-$2-$3")),
-    )
+
+    def read(lower: Column) -> Column:
+        by_name = F.regexp_replace(_rewrite(lower, named, "$2$5|$1$4-@-$3"), "-$", "-1")
+        steps = (
+            _timestamp(_rewrite(lower, closed_first, "$1$4-$2$5-$3$6")),
+            _named_month(by_name),
+            _timestamp(_rewrite(lower, r"[/-](\d{4})(\d{2})(\d{2})[/-]", "$1-$2-$3")),
+        )
+        # All of these dates follow a `/` or `-` with a four-digit year.
+        return F.when(lower.rlike(r"[/-]\d{4}"), F.coalesce(*steps))
+
+    return bind(F.lower(url), read)
 
 
 def parse_date(text: Column, url: Column, as_of: datetime) -> Column:

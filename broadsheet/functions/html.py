@@ -6,6 +6,7 @@ a link comes out in one piece. Markers are control characters that html text can
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -19,6 +20,7 @@ _NODE = "\x01"
 _JOIN = "\x02"
 _ATTRIBUTES = r"""((?:[^>"']++|"[^"]*"|'[^']*')*+)"""
 _HREF = r"""(?is)(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_NAMED = json.dumps({name: chr(point) for name, point in name2codepoint.items()})
 _REFERENCE = r"^(#[xX][0-9a-fA-F]{1,6}|#\d{1,7}|[A-Za-z][A-Za-z0-9]*);"
 # Comments, and elements whose content is no text of the page.
 _SILENT = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
@@ -26,7 +28,8 @@ _SILENT = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
 
 def unescape(text: Column) -> Column:
     """Decode named and numeric character references; unknown ones stay as they are."""
-    named = F.create_map(*(F.lit(part) for name, point in name2codepoint.items() for part in (name, chr(point))))
+    # One constant, folded into a map when the plan is made.
+    named = F.from_json(F.lit(_NAMED), "MAP<STRING, STRING>")
 
     def decode(piece: Column) -> Column:
         return bind(F.regexp_extract(piece, _REFERENCE, 1), lambda name: decode_named(piece, name))

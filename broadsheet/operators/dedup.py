@@ -16,7 +16,7 @@ from broadsheet.operators.rank import first_per_group
 from broadsheet.storage import Workspace
 
 # After this many rounds a remainder of at most TAIL_ROWS key pairs is walked in one task.
-TAIL_AFTER = 3
+TAIL_AFTER = 10
 TAIL_ROWS = 200_000
 
 

@@ -132,7 +132,7 @@ def kept_sets(sets: DataFrame, pivots: int = PIVOTS) -> DataFrame:
     work = Workspace(sets.sparkSession, "triage")
     sets = work.write(sets)
     alone = sets.filter(F.size("words") < 4).select("rank")
-    keyed = _keyed(_rare_first(sets.filter(F.size("words") >= 4)))
+    keyed = _keyed(work.write(_rare_first(sets.filter(F.size("words") >= 4))))
     # A key leads nowhere without a member of the partner size; a set without shared keys is kept.
     sizes = keyed.groupBy("key").agg(
         F.min("size").alias("low"),
