@@ -21,6 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.llm.common import free_name
 from broadsheet.storage import Workspace
 
 UNDETERMINED = "und"
@@ -160,23 +161,42 @@ def learn(
     return LanguageModel(languages, known, word_logs, parts, gram_logs)
 
 
-def predictor(df: DataFrame, model: LanguageModel):
-    """A function from a text column to ``struct<lang, score>``."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("lang STRING, score DOUBLE")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.predict(text) for text in texts], columns=["lang", "score"])
-
-    return predict
+def share(df: DataFrame, model: LanguageModel):
+    """The model's fields as a broadcast; ``LanguageModel(*value)`` in a task."""
+    return df.sparkSession.sparkContext.broadcast(
+        (model.languages, model.words, model.word_logs, model.grams, model.gram_logs)
+    )
 
 
 def identify(df: DataFrame, model: LanguageModel, text_col: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """df with the predicted language and its score; one narrow pass."""
-    predicted = df.withColumn("_found", predictor(df, model)(F.col(text_col)))
-    return predicted.withColumns({lang: F.col("_found.lang"), score: F.col("_found.score")}).drop("_found")
+    shared = share(df, model)
+
+    @F.pandas_udf("lang STRING, score DOUBLE")
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = LanguageModel(*shared.value)
+        for texts in batches:
+            yield pd.DataFrame([own.predict(text) for text in texts], columns=["lang", "score"])
+
+    found = free_name(df, "_found")
+    predicted = df.withColumn(found, predict(F.col(text_col)))
+    return predicted.withColumns({lang: F.col(found)["lang"], score: F.col(found)["score"]}).drop(found)
 
 
 def held_out(doc_id: Column) -> Column:
     """The fifth of the documents that no model learns from; a null id counts as an empty one."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def keep_identified(df: DataFrame, model: LanguageModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows whose language is told with a score of ``least`` or more, all columns as they are."""
+    shared = share(df, model)
+
+    @F.pandas_udf("boolean")
+    def identified(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = LanguageModel(*shared.value)
+        for texts in batches:
+            found = (own.predict(text) for text in texts)
+            yield pd.Series([lang != UNDETERMINED and score >= least for lang, score in found], dtype=bool)
+
+    return df.filter(identified(F.col(text_col)))

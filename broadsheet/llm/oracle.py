@@ -1,10 +1,66 @@
 """DuckDB SQL for the registered queries that SQL can express on whole tables."""
 
+_SHINGLES = """
+    list_distinct(CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) <= 5 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+    END)
+"""
+
+_WORDS = r"""
+    regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[0-9a-z\x{80}-\x{10FFFF}]+'
+    )
+"""
+
 ORACLE = {
+    "op4_decontamination": f"""
+        WITH dw AS (SELECT doc_id, row_number() OVER () AS rid, {_WORDS} AS w FROM documents),
+        d AS (SELECT doc_id, rid, unnest({_SHINGLES}) AS s FROM dw),
+        iw AS (SELECT item_id, row_number() OVER () AS no, {_WORDS} AS w FROM benchmark),
+        ia AS (SELECT item_id, no, {_SHINGLES} AS shingles FROM iw),
+        i AS (SELECT item_id, no, len(shingles) AS item_shingles, unnest(shingles) AS s FROM ia),
+        hits AS (
+            SELECT doc_id, item_id, item_shingles, count(*) AS shared_shingles
+            FROM d JOIN i USING (s) GROUP BY doc_id, rid, item_id, no, item_shingles
+        )
+        SELECT doc_id, item_id, item_shingles, shared_shingles, shared_shingles / item_shingles AS containment
+        FROM hits WHERE shared_shingles * 5 >= item_shingles * 4
+    """,
     "op8_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
         FROM d JOIN g USING (t)
     """,
+    "op5_line_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, source, string_split(text, chr(10)) AS ls, row_number() OVER () AS rid FROM documents
+        ),
+        l AS (SELECT rid, source, unnest(ls) AS line FROM d),
+        b AS (
+            SELECT line FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+            GROUP BY line HAVING count(DISTINCT coalesce('s' || source, 'n')) >= 5
+        ),
+        u AS (SELECT rid, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d),
+        k AS (
+            SELECT rid, count(*) AS n_lines, count(b.line) AS n_removed,
+                   string_agg(u.line, chr(10) ORDER BY pos) FILTER (WHERE b.line IS NULL) AS kept
+            FROM u LEFT JOIN b ON u.line = b.line GROUP BY rid
+        )
+        SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS text_sha256
+        FROM d LEFT JOIN k USING (rid)
+    """,
+    "op10_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+        d AS (SELECT page_id, strlen(t) AS payload_bytes, sha256(t) AS payload_digest FROM p),
+        f AS (SELECT payload_digest, min(page_id) AS first_id FROM d GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+        FROM d JOIN f USING (payload_digest)
+    """,
 }

@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import exact_dedup, language_id, simhash
+from broadsheet.llm import (
+    decontamination,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    mixing,
+    quality,
+    secrets,
+    simhash,
+    suffix_dedup,
+    warc,
+)
+from broadsheet.storage import Workspace
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +33,38 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated strings of 200 bytes."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of one and a half times all words takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents")).report()
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it holds."""
+    return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stand on five or more sources."""
+    return line_dedup.report(line_dedup.remove_boilerplate(table(spark, sf_dir, "documents")))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, given its text, its source and its language in that source."""
+    found = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document, documents being repositories and sources their owners."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id").drop("secrets")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the copy of its text that stays."""
     groups = exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
@@ -35,8 +79,24 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it comes back from the archives it was written to."""
+    pages = table(spark, sf_dir, "pages")
+    path = f"{Workspace(spark, 'warc').path}/archives"
+    warc.write_archives(warc.plan_captures(pages), path)
+    captures = warc.assemble(warc.read_records(spark, path))
+    return warc.page_report(captures, pages.schema["page_id"].dataType.simpleString())
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_mixing": op3_mixing,
+    "op4_decontamination": op4_decontamination,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_quality": op6_quality,
+    "op7_secrets": op7_secrets,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_simhash": op9_simhash,
+    "op10_warc": op10_warc,
 }

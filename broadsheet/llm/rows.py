@@ -1,11 +1,27 @@
-"""Applying decisions about rows, found without their other columns, to the rows themselves."""
+"""Numbering rows, and applying decisions about rows, found without their other columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import digest, free_name
+from broadsheet.storage import Workspace
+
+
+def number_sorted(df: DataFrame, order: list[Column], work: Workspace, name: str) -> DataFrame:
+    """``df`` with the rows' numbers from 0 in a total ``order``: a range-partitioned sort, written as a
+    table, and offsets from one count per partition. No global window."""
+    place = F.monotonically_increasing_id()
+    slots = work.write(
+        df.orderBy(*order).select("*", F.shiftright(place, 33).alias("_part"), place.bitwiseAND((1 << 33) - 1).alias("_place"))
+    )
+    sizes = slots.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition of the sort, whatever the data size: safe to broadcast.
+    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    numbered = slots.join(F.broadcast(offsets), "_part")
+    return numbered.select(*df.columns, (F.col("_offset") + F.col("_place")).alias(name))
 
 
 def keep_decided(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -232,9 +232,9 @@ def _neighbours(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4
 ) -> DataFrame:
-    """One row per row of docs: ``id_col``, ``digest`` of the text, ``fp`` and ``component_id``, the smallest id
-    reachable over links (null if no row of the component has an id). Rows with equal fingerprints
-    are linked; they take part in the search once."""
+    """One row per row of docs: ``id_col``, ``digest`` of the text, ``fp``, ``component`` (its smallest fingerprint)
+    and ``component_id``, the smallest id reachable over links (null if no row of the component has
+    an id). Rows with equal fingerprints are linked; they take part in the search once."""
     work = Workspace(docs.sparkSession, "near")
     rows = docs.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest"), F.col(text_col).alias("text"))
     marked = work.write(fingerprints(rows, "text", width))
@@ -242,5 +242,16 @@ def near_duplicates(
     member = components(links(prints, distance)).withColumnRenamed("node", "fp")
     placed = prints.join(member, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     smallest = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = work.write(placed.join(smallest, "component").select("fp", "component_id"))
-    return marked.join(named, "fp").select(F.col("id").alias(id_col), "digest", "fp", "component_id")
+    named = work.write(placed.join(smallest, "component").select("fp", "component", "component_id"))
+    return marked.join(named, "fp").select(F.col("id").alias(id_col), "digest", "fp", "component", "component_id")
+
+
+def not_kept(near: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """What goes if one row of each component stays, the one of smallest id (nulls last), then digest:
+    ``id``, ``digest``, ``n`` of the rows that agree in both."""
+    rows = near.groupBy("component", F.col(id_col).alias("id"), "digest").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("digest"))
+    best = rows.groupBy("component").agg(F.min_by(F.struct("id", "digest"), order).alias("best"))
+    stays = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("digest") == F.col("best.digest"))
+    left = rows.join(best, "component").withColumn("n", F.col("n") - F.when(stays, 1).otherwise(0))
+    return left.filter("n > 0").groupBy("id", "digest").agg(F.sum("n").alias("n"))
