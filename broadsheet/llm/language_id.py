@@ -44,27 +44,25 @@ def grams_of(word: str, n: int) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """Log frequencies per language: a matrix row for each known word and for each known gram."""
+    """Log frequencies per language: one matrix, with a row for each known word, then for each known gram."""
 
     languages: list[str]
     words: dict[str, int]
-    word_logs: np.ndarray
     grams: dict[str, int]
-    gram_logs: np.ndarray
-    _unseen: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
+    logs: np.ndarray
+    _unseen: dict[str, list[int]] = field(default_factory=dict, repr=False)
 
-    def vector(self, word: str) -> np.ndarray:
-        """Evidence of one word: its own, or that of its longest known grams; zeros if none is."""
+    def rows(self, word: str) -> list[int]:
+        """Rows whose mean is the evidence of a word: its own, or those of its longest known grams."""
         row = self.words.get(word)
         if row is not None:
-            return self.word_logs[row]
+            return [row]
         found = self._unseen.get(word)
         if found is None:
-            found = np.zeros(len(self.languages))
+            found = []
             for n in range(LONGEST, 0, -1):
-                rows = [r for r in map(self.grams.get, grams_of(word, n)) if r is not None]
-                if rows:
-                    found = self.gram_logs[rows].mean(axis=0)
+                found = [r for r in map(self.grams.get, grams_of(word, n)) if r is not None]
+                if found:
                     break
             if len(self._unseen) >= REMEMBERED:
                 self._unseen.clear()
@@ -75,27 +73,41 @@ class LanguageModel:
         counts = Counter(words_of(text))
         if not counts or not self.languages:
             return UNDETERMINED, 0.0
-        times = np.fromiter(counts.values(), float, len(counts))
-        total = times @ np.array([self.vector(word) for word in counts])
+        rows: list[int] = []
+        weights: list[float] = []
+        for word, times in counts.items():
+            own = self.rows(word)
+            rows += own
+            weights += [times / len(own)] * len(own) if own else []
+        total = np.array(weights) @ self.logs[rows] if rows else np.zeros(len(self.languages))
         odds = np.exp(total - total.max())
         best = int(np.argmax(odds))
         return self.languages[best], float(odds[best] / odds.sum())
 
 
-def _count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Words (n 0) and grams with their numbers in each language, for one batch at a time."""
+def _count_words(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Words with their numbers in each language, for one batch at a time."""
     for batch in batches:
-        counts: Counter = Counter()
+        counts: dict[str, Counter] = {}
         for language, text in zip(batch["lang"], batch["text"]):
-            for word, times in Counter(words_of(text)).items():
-                counts[language, 0, word] += times
-                for n in range(1, LONGEST + 1):
-                    for gram in grams_of(word, n):
-                        counts[language, n, gram] += times
-        if counts:
-            yield pd.DataFrame(
-                [(*key, times) for key, times in counts.items()], columns=["lang", "n", "piece", "times"]
-            ).astype({"n": "int32", "times": "int64"})
+            counts.setdefault(language, Counter()).update(words_of(text))
+        rows = [(language, word, times) for language, own in counts.items() for word, times in own.items()]
+        if rows:
+            yield pd.DataFrame(rows, columns=["lang", "word", "times"]).astype({"times": "int64"})
+
+
+def _count_grams(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Grams of counted words, with their numbers."""
+    for batch in batches:
+        counts: dict[str, Counter] = {}
+        for language, word, times in zip(batch["lang"], batch["word"], batch["times"]):
+            own = counts.setdefault(language, Counter())
+            for n in range(1, LONGEST + 1):
+                for gram in grams_of(word, n):
+                    own[gram] += times
+        rows = [(language, len(gram), gram, times) for language, own in counts.items() for gram, times in own.items()]
+        if rows:
+            yield pd.DataFrame(rows, columns=["lang", "n", "piece", "times"]).astype({"n": "int32", "times": "int64"})
 
 
 def sample_by_language(training: DataFrame, per_language: int) -> tuple[DataFrame, list[str]]:
@@ -129,7 +141,7 @@ def learn(
     text_col: str = "text",
     lang_col: str = "lang",
     per_language: int = 2_000,
-    vocabulary: int = 60_000,
+    vocabulary: int = 100_000,
     grams: int = 120_000,
 ) -> LanguageModel:
     """A model from the rows that have text and language.
@@ -140,31 +152,43 @@ def learn(
     """
     pairs = training.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     sample, languages = sample_by_language(pairs.filter("lang IS NOT NULL AND text IS NOT NULL"), per_language)
-    counted = sample.select("lang", "text").mapInPandas(_count, "lang STRING, n INT, piece STRING, times BIGINT")
+    if not languages:
+        return LanguageModel([], {}, {}, np.zeros((0, 0)))
+    work = Workspace(training.sparkSession, "language")
+    counted = sample.select("lang", "text").mapInPandas(_count_words, "lang STRING, word STRING, times BIGINT")
+    words = work.write(counted.groupBy("lang", "word").agg(F.sum("times").alias("times")))
+    # Grams come from the counted words: each different word is taken apart once for a language.
+    parts = words.mapInPandas(_count_grams, "lang STRING, n INT, piece STRING, times BIGINT")
+    both = words.select("lang", F.lit(0).alias("n"), F.col("word").alias("piece"), "times").union(parts)
     by_language = [
         F.coalesce(F.sum(F.when(F.col("lang") == language, F.col("times"))), F.lit(0)).alias(f"c{i}")
         for i, language in enumerate(languages)
     ]
-    if not languages:
-        return LanguageModel([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
-    pieces = Workspace(training.sparkSession, "language").write(
-        counted.groupBy("n", "piece").agg(F.sum("times").alias("times"), *by_language)
-    )
-    totals: dict[int, dict[str, int]] = {}
-    for row in pieces.groupBy("n").agg(*(F.sum(f"c{i}").alias(f"c{i}") for i in range(len(languages)))).collect():
-        totals[row["n"]] = {language: row[f"c{i}"] for i, language in enumerate(languages)}
+    pieces = work.write(both.groupBy("n", "piece").agg(F.sum("times").alias("times"), *by_language))
+    columns = [f"c{i}" for i in range(len(languages))]
+    totals = {row["n"]: [row[c] for c in columns] for row in pieces.groupBy("n").agg(*(F.sum(c).alias(c) for c in columns)).collect()}
     order = [F.col("times").desc(), F.col("n"), F.col("piece")]
-    kept_words = pieces.filter("n = 0").orderBy(*order).limit(vocabulary).collect()
-    kept_grams = pieces.filter("n > 0").orderBy(*order).limit(grams).collect()
-    known, word_logs = _matrix(kept_words, languages, {n: t for n, t in totals.items() if n == 0})
-    parts, gram_logs = _matrix(kept_grams, languages, {n: t for n, t in totals.items() if n > 0})
-    return LanguageModel(languages, known, word_logs, parts, gram_logs)
+    kept = [
+        pieces.filter("n = 0").orderBy(*order).limit(vocabulary).toPandas(),
+        pieces.filter("n > 0").orderBy(*order).limit(grams).toPandas(),
+    ]
+    rows = pd.concat(kept, ignore_index=True)
+    size = rows.groupby("n")["n"].transform("size").to_numpy()[:, None]
+    total = np.array([totals[n] for n in rows["n"]], float)
+    logs = np.log((rows[columns].to_numpy(float) + SMOOTHING) / (total + SMOOTHING * size))
+    known, cut = rows["piece"].tolist(), len(kept[0])
+    return LanguageModel(
+        languages,
+        {piece: i for i, piece in enumerate(known[:cut])},
+        {piece: i for i, piece in enumerate(known[cut:], cut)},
+        logs,
+    )
 
 
 def share(df: DataFrame, model: LanguageModel):
     """The model's fields as a broadcast; ``LanguageModel(*value)`` in a task."""
     return df.sparkSession.sparkContext.broadcast(
-        (model.languages, model.words, model.word_logs, model.grams, model.gram_logs)
+        (model.languages, model.words, model.grams, model.logs)
     )
 
 
