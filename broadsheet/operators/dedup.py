@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,75 +13,54 @@ from broadsheet.operators.filters import filter_nonempty
 from broadsheet.operators.rank import first_per_group
 from broadsheet.storage import Workspace
 
-# After this many rounds a remainder of at most TAIL_ROWS key pairs is walked in one task.
-TAIL_AFTER = 10
-TAIL_ROWS = 200_000
-
-
 def dedup_first(df: DataFrame, key: Column | None = None, order: list[Column] | None = None) -> DataFrame:
     """The first row of each canonical url (or other key)."""
     keyed = df.withColumn("_key", canonical_url(F.col("url")) if key is None else key)
     return first_per_group(keyed, ["_key"], order or [F.col("ord").asc()]).drop("_key")
 
 
-def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Keep rows in order whose keys are both new; at most TAIL_ROWS pairs of digests in memory."""
-    urls: set[str] = set()
-    titles: set[str] = set()
-    for batch in batches:
-        kept = []
-        for ord_, url, title in zip(batch["ord"], batch["first"], batch["second"]):
-            if url in urls or (title is not None and title in titles):
-                continue
-            urls.add(url)
-            if title is not None:
-                titles.add(title)
-            kept.append(ord_)
-        yield pd.DataFrame({"ord": pd.Series(kept, dtype="int64")})
-
-
-def greedy_keys(pairs: DataFrame, tail_after: int = TAIL_AFTER, tail_rows: int = TAIL_ROWS) -> DataFrame:
+def greedy_keys(pairs: DataFrame) -> DataFrame:
     """The ``ord`` of the rows that a walk in ``ord`` order would keep, where a row is dropped if
     its ``first`` or its (non-NULL) ``second`` key belongs to a row already kept.
 
     Copies with the same pair of keys fall together in a partial aggregation before anything is
     shuffled, so a group of copies costs one row per map task. Then rounds: a row that is the
     earliest of both its keys is certainly kept, and every row that shares a key with a kept one
-    is certainly dropped. Each round is aggregations and anti joins on one key at a time; no group
-    is gathered. The kept and live rows of each round are tables in the checkpoint folder. Rounds
-    number as the longest chain of alternating keys, a handful in practice; a small remainder
-    (size checked) is finished by one sequential walk.
+    is certainly dropped. The earliest rows of either key are one row per key, so finding those
+    that are both joins unique keys; rows without a second key need no partner and are spread by
+    ``ord`` wherever the second key is joined. Each round writes one table, of the rows it keeps and
+    those still open. Rounds number as the longest chain of alternating keys, a handful in
+    practice.
     """
     work = Workspace(pairs.sparkSession, "greedy")
-    live, rows = work.write_counted(pairs.groupBy("first", "second").agg(F.min("ord").alias("ord")))
+    state = work.write(pairs.groupBy("first", "second").agg(F.min("ord").alias("ord")).withColumn("open", F.lit(True)))
     kept_parts = []
-    done = 0
-    while rows:
-        if done >= tail_after and rows <= tail_rows:
-            # Digests in place of keys: a title can be of any length, the memory bound cannot.
-            tail = live.select("ord", F.sha2("first", 256).alias("first"), F.sha2("second", 256).alias("second"))
-            tail = tail.repartition(1).sortWithinPartitions("ord")
-            kept_parts.append(tail.mapInPandas(_walk, "ord BIGINT"))
+    while True:
+        live = state.filter("open").select("first", "second", "ord")
+        if live.isEmpty():
             break
-        leads = live.groupBy("first").agg(F.min(F.struct("ord", "second")).alias("lead"))
-        leads = leads.select("first", "lead.ord", "lead.second")
-        seconds = live.filter(F.col("second").isNotNull()).groupBy("second").agg(F.min("ord").alias("_earliest"))
-        winners = leads.join(seconds, "second", "left").filter(
-            F.col("second").isNull() | (F.col("ord") == F.col("_earliest"))
-        )
-        kept = work.write(winners.select("ord", "first", "second"))
-        kept_parts.append(kept.select("ord"))
-        rest = live.join(kept.select("first"), "first", "left_anti").join(
-            kept.filter(F.col("second").isNotNull()).select("second"), "second", "left_anti"
+        leads = live.groupBy("first").agg(F.min(F.struct("ord", "second")).alias("lead")).select("first", "lead.*")
+        earliest = live.filter(F.col("second").isNotNull()).groupBy("second").agg(F.min("ord").alias("ord"))
+        paired = leads.filter(F.col("second").isNotNull()).join(earliest.select("ord"), "ord", "left_semi")
+        won = paired.unionByName(leads.filter(F.col("second").isNull()))
+        placed = live.join(won.select("first", F.col("ord").alias("_won")), "first", "left")
+        undecided = F.col("_won").isNull()
+        spread = F.concat(F.lit("o"), F.col("ord").cast("string"))
+        title = F.coalesce(F.when(undecided, F.concat(F.lit("t"), "second")), spread)
+        taken = won.filter(F.col("second").isNotNull()).select(F.concat(F.lit("t"), "second").alias("_title"))
+        decided = placed.withColumn("_title", title).join(taken.withColumn("_taken", F.lit(True)), "_title", "left")
+        kept = F.col("ord") == F.col("_won")
+        still = undecided & F.col("_taken").isNull()
+        state = work.write(
+            decided.filter(F.coalesce(kept, F.lit(False)) | still).select("first", "second", "ord", still.alias("open"))
         )
-        live, rows = work.write_counted(rest.select("first", "second", "ord"))
-        done += 1
+        kept_parts.append(state.filter("NOT open").select("ord"))
     if not kept_parts:
-        return live.select("ord")
+        return state.select("ord")
     return reduce(DataFrame.unionByName, kept_parts)
 
 
-def dedup_greedy(df: DataFrame, **tail) -> DataFrame:
+def dedup_greedy(df: DataFrame) -> DataFrame:
     """Articles left after dropping, in ``ord`` order, each one whose canonical url or title key
     was kept before. Rows without url or title go; an empty title key matches nothing. A dropped
     row does not claim its keys, which is why two passes of keep-first would be wrong."""
@@ -94,4 +71,4 @@ def dedup_greedy(df: DataFrame, **tail) -> DataFrame:
         canonical_url(F.col("url")).alias("first"),
         F.when(key != "", key).alias("second"),
     )
-    return items.join(greedy_keys(pairs, **tail), "ord", "left_semi")
+    return items.join(greedy_keys(pairs), "ord", "left_semi")

@@ -28,7 +28,7 @@ def drop_reasons(judged: DataFrame) -> DataFrame:
     return judged.groupBy(F.coalesce("drop_reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("items"))
 
 
-def feed_hit_rate(items: DataFrame, keywords, first: int = 15) -> DataFrame:
+def feed_hit_rate(items: DataFrame, keywords, first: int) -> DataFrame:
     """Keyword hits among the first items of each feed (columns feed, pos, title)."""
     window = items.filter(F.col("pos") < first)
     hit = contains_any(F.col("title"), keywords)

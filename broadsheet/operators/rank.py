@@ -28,8 +28,11 @@ def top(df: DataFrame, n: int | None, order: list[Column] | None = None) -> Data
     return df if n is None else df.orderBy(*(order or rank_order())).limit(n)
 
 
-def number_top(df: DataFrame, n: int) -> DataFrame:
-    """The first n rows of the ranking with ``idx`` from 1; one window over n rows at most."""
+def number_top(df: DataFrame, n: int | None) -> DataFrame:
+    """The first n rows of the ranking with ``idx`` from 1; one window over n rows at most. Without a
+    cap the whole list, numbered as in ``number_rows``."""
+    if n is None:
+        return number_rows(df)
     return top(df, n).withColumn("idx", F.row_number().over(Window.orderBy(*rank_order())))
 
 

@@ -15,6 +15,7 @@ from broadsheet.operators.normalize import date_gate, normalize, special_source,
 from broadsheet.operators.triage import triage
 from broadsheet.operators.validate import judge_dates
 from broadsheet.plans import digest
+from broadsheet.settings import REPORT_CAPS
 from broadsheet.sources import landing, reference
 from broadsheet.sources.articles import FEED_SETTINGS, landed_articles, landed_stream
 from broadsheet.storage import Workspace
@@ -386,7 +387,7 @@ def _feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def feed_hit_rate(spark, sf_dir):
-    return metrics.feed_hit_rate(_feeds(spark, sf_dir), ("tion", "la", "worthless"))
+    return metrics.feed_hit_rate(_feeds(spark, sf_dir), ("tion", "la", "worthless"), first=15)
 
 
 @query
@@ -416,12 +417,12 @@ def rank_tier(spark, sf_dir):
 
 @query
 def top_relevance_input(spark, sf_dir):
-    return rank.top(_described(spark, sf_dir), FEED_SETTINGS.relevance_cap).select("ord", "tier", "seendate")
+    return rank.top(_described(spark, sf_dir), REPORT_CAPS["relevance_cap"]).select("ord", "tier", "seendate")
 
 
 @query
 def final_cap(spark, sf_dir):
-    return rank.number_top(_described(spark, sf_dir), FEED_SETTINGS.final_cap).select("idx", "ord", "title")
+    return rank.number_top(_described(spark, sf_dir), REPORT_CAPS["final_cap"]).select("idx", "ord", "title")
 
 
 @query
@@ -430,6 +431,28 @@ def per_source_cap(spark, sf_dir):
     return items.select("ord", "title", "url")
 
 
+def _published(spark: SparkSession, sf_dir: str) -> str:
+    """The three lists of a run, written twice, as by a retried run; the folder they are in."""
+    items = _described(spark, sf_dir)
+    path = Workspace(spark, "published").path
+    for _ in range(2):
+        sinks.publish(items, path, "pre_filtered", "20240131_120000")
+        sinks.publish(items.filter("tier = 1"), path, "raw", "20240131_120000")
+        sinks.publish(items, path, "final", "20240131_120000", cap=100)
+    return path
+
+
+@query
+def published_stages(spark, sf_dir):
+    lists = spark.read.parquet(f"{_published(spark, sf_dir)}/lists")
+    return lists.select("stage", "idx", "ord", "title")
+
+
+@query
+def latest_snapshot(spark, sf_dir):
+    return spark.read.parquet(f"{_published(spark, sf_dir)}/latest").select("idx", "ord", "domain", "seendate")
+
+
 @query
 def digest_lines(spark, sf_dir):
     return rank.source_lines(rank.number_rows(_described(spark, sf_dir)))
@@ -442,7 +465,7 @@ def prompt_render(spark, sf_dir):
 
 @query
 def triage_prompt(spark, sf_dir):
-    return sinks.triage_prompt(_described(spark, sf_dir))
+    return sinks.triage_prompt(_described(spark, sf_dir), REPORT_CAPS["triage_cap"])
 
 
 # --- sources ---------------------------------------------------------------------------------

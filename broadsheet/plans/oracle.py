@@ -166,7 +166,7 @@ ORACLE["digest_core"] = with_(
     NORMALIZED + "," + greedy("articles"),
     f"""SELECT row_number() OVER (ORDER BY {RANK}) AS idx, title, {shown('seendate')} AS date, url
 FROM articles WHERE ord IN (SELECT ord FROM g_kept) AND seendate <> '00000000' AND strptime(seendate, '%Y%m%d') >= DATE '2024-01-24'
-ORDER BY {RANK} LIMIT 250""",
+ORDER BY {RANK}""",
     recursive=True,
 )
 
@@ -197,10 +197,10 @@ judged AS (
 STAGES = f"""{NORMALIZED},{greedy('articles')},
 uniq AS (SELECT * FROM articles WHERE ord IN (SELECT ord FROM g_kept)),{judged('uniq')},
 valid AS (SELECT * REPLACE (strftime(pub_date, '%Y%m%d') AS seendate) FROM judged WHERE drop_reason IS NULL),
-asked AS (SELECT * FROM valid ORDER BY {RANK} LIMIT 300),
+asked AS (SELECT * FROM valid),
 relevant AS (SELECT * REPLACE ({MATCHED} AS reasoning) FROM asked WHERE {SCORE} >= 2),{mirrors('relevant')},
 retained AS (SELECT * FROM relevant WHERE ord IN (SELECT ord FROM m_kept)),
-final AS (SELECT * FROM retained ORDER BY {RANK} LIMIT 250)"""
+final AS (SELECT * FROM retained)"""
 
 ORACLE["digest_full"] = with_(
     STAGES,
@@ -411,6 +411,14 @@ ORACLE["final_cap"] = with_(
     DESCRIBED, f"SELECT row_number() OVER (ORDER BY {RANK}) AS idx, ord, title FROM described ORDER BY {RANK} LIMIT 250"
 )
 # The payloads hold 50 items each; source ranks sit at bit 56, payload numbers at bit 24.
+_NUMBERED = "row_number() OVER (ORDER BY {rank}) AS idx, ord".replace("{rank}", RANK)
+ORACLE["published_stages"] = with_(
+    DESCRIBED,
+    f"""SELECT 'pre_filtered' AS stage, {_NUMBERED}, title FROM described
+UNION ALL SELECT 'raw', {_NUMBERED}, title FROM described WHERE tier = 1
+UNION ALL SELECT * FROM (SELECT 'final', {_NUMBERED}, title FROM described ORDER BY {RANK} LIMIT 100)""",
+)
+ORACLE["latest_snapshot"] = with_(DESCRIBED, f"SELECT {_NUMBERED}, domain, seendate FROM described")
 ORACLE["per_source_cap"] = with_(
     FEED, "SELECT (ord // 50) * 16777216 + ord % 50 AS ord, title, url FROM feed WHERE ord % 50 < 20"
 )

@@ -43,9 +43,8 @@ RELEVANCE_RULES = (
 class Settings:
     """Run parameters. ``as_of`` is the run time; no operator reads the clock.
 
-    The report caps default to the reference figures. Text cuts (``max_page_lines``,
-    ``max_page_chars``) default to None, which means whole texts; the reference figures are
-    1,000 lines and 25,000 characters.
+    Every cap and text cut defaults to None, so nothing is left out; ``REPORT_CAPS`` has the
+    figures of an interactive report, for ``settings.with_(**REPORT_CAPS)``.
     """
 
     as_of: datetime
@@ -58,12 +57,12 @@ class Settings:
     save_source_lists: bool = True
     relevance_rules: tuple[RelevanceRule, ...] = RELEVANCE_RULES
     relevance_threshold: int = 2
-    relevance_cap: int | None = 300
+    relevance_cap: int | None = None
     triage_cap: int | None = None
-    final_cap: int | None = 250
-    search_results_per_query: int | None = 50
-    gdelt_records: int | None = 250
-    google_news_items: int | None = 250
+    final_cap: int | None = None
+    search_results_per_query: int | None = None
+    gdelt_records: int | None = None
+    google_news_items: int | None = None
     min_page_chars: int = 300
     max_page_lines: int | None = None
     max_page_chars: int | None = None
@@ -78,3 +77,15 @@ class Settings:
 
     def with_(self, **changes) -> Settings:
         return replace(self, **changes)
+
+
+REPORT_CAPS = {
+    "relevance_cap": 300,
+    "triage_cap": 150,
+    "final_cap": 250,
+    "search_results_per_query": 50,
+    "gdelt_records": 250,
+    "google_news_items": 250,
+    "max_page_lines": 1_000,
+    "max_page_chars": 25_000,
+}

@@ -50,6 +50,23 @@ def test_published_lists(spark, tmp_path):
         sinks.publish(df, out, "other", "x")
 
 
+def test_publishing_again_changes_nothing(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for n in (40, 40, 25):
+        sinks.publish(articles(spark, n), out, "pre_filtered", "20240131_120000")
+        sinks.publish(articles(spark, n), out, "final", "20240131_120000", cap=10)
+        for path in (f"{out}/lists/run_ts=20240131_120000/stage=pre_filtered", f"{out}/latest"):
+            assert sorted(r.idx for r in spark.read.parquet(path).collect()) == list(range(1, n + 1))
+        assert spark.read.parquet(f"{out}/lists/run_ts=20240131_120000/stage=final").count() == 10
+
+
+def test_numbering_without_a_cap_is_distributed(spark):
+    numbered = rank.number_top(articles(spark, 300).repartition(5), None)
+    assert sorted(r.idx for r in numbered.collect()) == list(range(1, 301))
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan
+
+
 def test_final_list_of_nothing_is_written(spark, tmp_path):
     out = str(tmp_path / "out")
     sinks.publish(articles(spark, 0), out, "final", "20240131_120000", cap=10)
