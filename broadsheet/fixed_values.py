@@ -1,30 +1,78 @@
 """Lists and formats that decide results and therefore are stated as they are."""
 
-# Source tiers: government domains of both countries and the requested outlets, all tier 1.
+# Tiers of government domains of both countries and the requested outlets.
 SOURCE_TIERS = {
-    domain: 1
-    for domain in """
-    state.gov dhs.gov defense.gov commerce.gov whitehouse.gov treasury.gov ustr.gov
-    china.usembassy-china.org.cn justice.gov house.gov senate.gov energy.gov usda.gov fcc.gov
-    sec.gov cisa.gov bis.doc.gov fbi.gov congress.gov navy.mil army.mil af.mil
-    fmprc.gov.cn mofcom.gov.cn mod.gov.cn gov.cn ndrc.gov.cn miit.gov.cn pbc.gov.cn
-    customs.gov.cn cac.gov.cn gwytb.gov.cn mfa.gov.cn npc.gov.cn scio.gov.cn
-    reuters.com bloomberg.com foxnews.com cnbc.com scmp.com
-    """.split()
+    "state.gov": 1,
+    "dhs.gov": 1,
+    "defense.gov": 1,
+    "commerce.gov": 1,
+    "whitehouse.gov": 1,
+    "treasury.gov": 1,
+    "ustr.gov": 1,
+    "china.usembassy-china.org.cn": 1,
+    "justice.gov": 1,
+    "house.gov": 1,
+    "senate.gov": 1,
+    "energy.gov": 1,
+    "usda.gov": 1,
+    "fcc.gov": 1,
+    "sec.gov": 1,
+    "cisa.gov": 1,
+    "bis.doc.gov": 1,
+    "fbi.gov": 1,
+    "congress.gov": 1,
+    "navy.mil": 1,
+    "army.mil": 1,
+    "af.mil": 1,
+    "fmprc.gov.cn": 1,
+    "mofcom.gov.cn": 1,
+    "mod.gov.cn": 1,
+    "gov.cn": 1,
+    "ndrc.gov.cn": 1,
+    "miit.gov.cn": 1,
+    "pbc.gov.cn": 1,
+    "customs.gov.cn": 1,
+    "cac.gov.cn": 1,
+    "gwytb.gov.cn": 1,
+    "mfa.gov.cn": 1,
+    "npc.gov.cn": 1,
+    "scio.gov.cn": 1,
+    "reuters.com": 1,
+    "bloomberg.com": 1,
+    "foxnews.com": 1,
+    "cnbc.com": 1,
+    "scmp.com": 1,
 }
 
-# Graded tiers of the stand-alone listing; unknown domains get LISTING_DEFAULT_TIER.
+# Graded tiers of the stand-alone listing; unknown domains get LISTING_DEFAULT_TIER.
 LISTING_TIERS = {
-    domain: tier
-    for tier, domains in {
-        1: "home.treasury.gov state.gov whitehouse.gov fmprc.gov.cn xinhuanet.com en.people.cn",
-        2: "reuters.com apnews.com",
-        3: "ft.com bloomberg.com wsj.com economist.com bbc.com theguardian.com nytimes.com "
-        "aljazeera.com foreignpolicy.com",
-        4: "straitstimes.com scmp.com japantimes.co.jp koreatimes.com thenewslens.com cna.com.tw "
-        "voachinese.com rfa.org chinatechnews.com globaltimes.cn",
-    }.items()
-    for domain in domains.split()
+    "home.treasury.gov": 1,
+    "state.gov": 1,
+    "whitehouse.gov": 1,
+    "fmprc.gov.cn": 1,
+    "xinhuanet.com": 1,
+    "en.people.cn": 1,
+    "reuters.com": 2,
+    "apnews.com": 2,
+    "ft.com": 3,
+    "bloomberg.com": 3,
+    "wsj.com": 3,
+    "economist.com": 3,
+    "bbc.com": 3,
+    "theguardian.com": 3,
+    "nytimes.com": 3,
+    "aljazeera.com": 3,
+    "foreignpolicy.com": 3,
+    "straitstimes.com": 4,
+    "scmp.com": 4,
+    "japantimes.co.jp": 4,
+    "koreatimes.com": 4,
+    "thenewslens.com": 4,
+    "cna.com.tw": 4,
+    "voachinese.com": 4,
+    "rfa.org": 4,
+    "chinatechnews.com": 4,
+    "globaltimes.cn": 4,
 }
 LISTING_DEFAULT_TIER = 5
 
@@ -43,10 +91,6 @@ LINE_KEYWORDS = (
 # Header phrases of an index page that carry a build date and not a publication date.
 HEADER_PHRASES = ("published time", "updated at")
 
-# Discovery query: phrases that must all occur, domains of which one must match.
-DISCOVERY_PHRASES = ("United States", "China")
-DISCOVERY_DOMAINS = ("gov", "gov.cn", "reuters.com", "bloomberg.com", "foxnews.com", "cnbc.com")
-
 # Official index pages, in reading order.
 OFFICIAL_PAGES = (
     "https://www.state.gov/press-releases/",

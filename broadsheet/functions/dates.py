@@ -106,17 +106,23 @@ def _month_name_parts(text: Column) -> Column:
     return _rewrite(F.lower(whole), pattern, "$1$5|$3$6-@-$2$4")
 
 
-def month_name_timestamp(text: Column, as_of: datetime) -> Column:
+def month_name_timestamp(text: Column, as_of: datetime | Column) -> Column:
     """``May 21, 2026``, ``21 May 2026``; without a year that of the run, or the year before if
-    the date would lie more than two days ahead."""
+    the date would lie more than two days ahead. The run time is a moment or, where it differs
+    from row to row, a TIMESTAMP_NTZ column."""
+    if isinstance(as_of, datetime):
+        years = [F.lit(f"|{as_of.year - back}-") for back in (0, 1)]
+        latest = wall_clock(as_of + timedelta(days=2))
+    else:
+        years = [F.concat(F.lit("|"), (F.year(as_of) - back).cast("string"), F.lit("-")) for back in (0, 1)]
+        latest = as_of + F.expr("INTERVAL 2 DAYS")
 
-    def dated(parts: Column, year: int) -> Column:
-        return _named_month(F.replace(parts, F.lit("|-"), F.lit(f"|{year}-")))
+    def dated(parts: Column, year: Column) -> Column:
+        return _named_month(F.replace(parts, F.lit("|-"), year))
 
     def resolve(parts: Column) -> Column:
-        this_year = dated(parts, as_of.year)
-        latest = wall_clock(as_of + timedelta(days=2))
-        yearless = bind(this_year, lambda day: F.when(day > latest, dated(parts, as_of.year - 1)).otherwise(day))
+        this_year = dated(parts, years[0])
+        yearless = bind(this_year, lambda day: F.when(day > latest, dated(parts, years[1])).otherwise(day))
         # A yearless date is read in a year without a leap day first, so 29 February never counts.
         return (
             F.when(parts == "feb|-@-29", None).when(parts.contains("|-"), yearless).otherwise(this_year)
@@ -125,7 +131,7 @@ def month_name_timestamp(text: Column, as_of: datetime) -> Column:
     return F.when(text.rlike("(?i)[a-z]{3}"), bind(_month_name_parts(text), resolve))
 
 
-def date_from_text(text: Column, as_of: datetime) -> Column:
+def date_from_text(text: Column, as_of: datetime | Column) -> Column:
     """Date of a string. Any string with ``0000`` counts as undated, on-the-hour stamps included."""
 
     def read(value: Column) -> Column:
@@ -155,7 +161,7 @@ def date_from_url(url: Column) -> Column:
     return bind(F.lower(url), read)
 
 
-def parse_date(text: Column, url: Column, as_of: datetime) -> Column:
+def parse_date(text: Column, url: Column, as_of: datetime | Column) -> Column:
     """Date of the text, else of the url, as TIMESTAMP_NTZ."""
     return F.coalesce(date_from_text(text, as_of), date_from_url(url))
 

@@ -66,6 +66,11 @@ def filter_keywords(df: DataFrame, keywords: Sequence[str], columns: Sequence[st
     return df.filter(hit)
 
 
+def phrase(text: Column, words: str) -> Column:
+    """Whether a text holds the phrase, case ignored. Combines with ``near`` by ``&``, ``|`` and ``~``."""
+    return F.coalesce(F.lower(text).contains(words.lower()), F.lit(False))
+
+
 def search(
     df: DataFrame,
     text: str,
@@ -75,28 +80,29 @@ def search(
     domain: str = "domain",
 ) -> DataFrame:
     """``"A" "B" ("C" OR "D") (domain:x OR domain:y)``: all of the first, one of each other kind."""
-    lower = F.lower(text)
     if domains:
         df = df.filter(domain_matches(F.col(domain), domains))
-    for phrase in all_phrases:
-        df = df.filter(lower.contains(phrase.lower()))
+    for words in all_phrases:
+        df = df.filter(phrase(F.col(text), words))
     if any_phrases:
         df = df.filter(contains_any(F.col(text), any_phrases))
     return df
 
 
-def search_near(df: DataFrame, text: str, terms: Sequence[str], distance: int = 20) -> DataFrame:
-    """Rows in which all terms occur within ``distance`` words of each other, anywhere in the text.
+def near(text: Column, terms: Sequence[str], distance: int = 20) -> Column:
+    """Whether all terms occur within ``distance`` words of each other, anywhere in the text.
 
-    Words are runs of letters and digits, case ignored. A substring test drops most rows first.
-    The rest is read once per row: the words that are terms, in order, each updating the last
-    position of its term; a row matches when the last positions lie close enough at some word.
-    The work per row is linear in its length and nothing is exploded or shuffled.
+    Words are runs of letters and digits, case ignored. A substring test decides most rows. The
+    rest is read once per row: the words that are terms, in order, each updating the last position
+    of its term; a row matches when the last positions lie close enough at some word. The work per
+    row is linear in its length and nothing is exploded or shuffled.
     """
     wanted = list(dict.fromkeys(term.lower() for term in terms))
+    lower = F.lower(text)
+    possible = F.lit(True)
     for term in wanted:
-        df = df.filter(F.lower(text).contains(term))
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+        possible = possible & lower.contains(term)
+    words = F.regexp_extract_all(lower, F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
     placed = F.transform(words, lambda word, at: F.struct(word.alias("word"), at.alias("at")))
     hits = F.filter(placed, lambda hit: hit["word"].isin(*wanted))
 
@@ -109,7 +115,13 @@ def search_near(df: DataFrame, text: str, terms: Sequence[str], distance: int =
         # array_min skips NULL, the position of a term that has not occurred yet.
         span = F.array_max(F.array(*last)) - F.array_min(F.array(*last))
         complete = F.forall(F.array(*last), lambda position: position.isNotNull())
-        near = seen["near"] | F.coalesce(complete & (span <= distance), F.lit(False))
-        return F.struct(*(position.alias(f"t{i}") for i, position in enumerate(last)), near.alias("near"))
+        close = seen["near"] | F.coalesce(complete & (span <= distance), F.lit(False))
+        return F.struct(*(position.alias(f"t{i}") for i, position in enumerate(last)), close.alias("near"))
+
+    found = F.aggregate(hits, start(), step, lambda seen: seen["near"])
+    return F.coalesce(F.when(possible, found), F.lit(False))
 
-    return df.filter(F.aggregate(hits, start(), step, lambda seen: seen["near"]))
+
+def search_near(df: DataFrame, text: str, terms: Sequence[str], distance: int = 20) -> DataFrame:
+    """Rows in which all terms occur within ``distance`` words of each other."""
+    return df.filter(near(F.col(text), terms, distance))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,33 +43,48 @@ def tier_of(domain: Column, tiers: dict[str, int], default: int) -> Column:
     return tier.cast("int")
 
 
-def normalize(items: DataFrame, settings: Settings) -> DataFrame:
-    """Articles out of raw items with ord, title, url, seendate, api_source and reasoning.
+def describe(items: DataFrame, settings: Settings, as_of: datetime | Column | None = None) -> DataFrame:
+    """Articles before the date test: with ``raw_date`` and ``published``, read as of the run time or of a
+    column of moments. Nothing here depends on how long the window is.
 
-    Missing fields count as empty. An item passes with a title of two words or more, an allowed
-    domain (or a special source) and an acceptable date. One narrow stage, no shuffle; the cheap
-    tests stand first.
+    Missing fields count as empty. An item passes with a title of two words or more and an allowed
+    domain (or a special source). One narrow stage, no shuffle; the cheap tests stand first.
     """
     read = items.select(
         "ord",
         "api_source",
-        *(F.coalesce(name, F.lit("")).alias(name) for name in ("url", "seendate", "reasoning")),
+        *(F.coalesce(name, F.lit("")).alias(name) for name in ("url", "reasoning")),
+        F.coalesce("seendate", F.lit("")).alias("raw_date"),
         strip(F.coalesce("title", F.lit(""))).alias("title"),
+        *([as_of.alias("_as_of")] if isinstance(as_of, Column) else []),
     )
     named = read.filter(has_two_words(F.col("title"))).withColumn("domain", url_domain(F.col("url")))
     allowed = named.filter(
         domain_matches(F.col("domain"), settings.allowed_domains)
         | special_source(F.col("api_source"), F.col("domain"))
     )
-    published = parse_date(F.col("seendate"), F.col("url"), settings.as_of)
-    gate = date_gate(F.col("api_source"), F.col("seendate"), published, wall_clock(settings.cutoff))
-    return allowed.filter(gate).select(
+    moment = F.col("_as_of") if isinstance(as_of, Column) else as_of or settings.as_of
+    dated = allowed.withColumn("published", parse_date(F.col("raw_date"), F.col("url"), moment))
+    return dated.select(
         "ord",
         "title",
         "url",
         "domain",
-        seendate(published).alias("seendate"),
+        seendate(F.col("published")).alias("seendate"),
         "api_source",
         tier_of(F.col("domain"), settings.tiers, settings.default_tier).alias("tier"),
         "reasoning",
+        "raw_date",
+        "published",
     )
+
+
+def admit(described: DataFrame, settings: Settings) -> DataFrame:
+    """The articles whose date lets them into the window of the settings."""
+    gate = date_gate(F.col("api_source"), F.col("raw_date"), F.col("published"), wall_clock(settings.cutoff))
+    return described.filter(gate).drop("raw_date", "published")
+
+
+def normalize(items: DataFrame, settings: Settings) -> DataFrame:
+    """Articles out of raw items with ord, title, url, seendate, api_source and reasoning."""
+    return admit(describe(items, settings), settings)

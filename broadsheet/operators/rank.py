@@ -33,7 +33,7 @@ def number_top(df: DataFrame, n: int | None) -> DataFrame:
     cap the whole list, numbered as in ``number_rows``."""
     if n is None:
         return number_rows(df)
-    return top(df, n).withColumn("idx", F.row_number().over(Window.orderBy(*rank_order())))
+    return top(df, n).withColumn("idx", F.row_number().over(Window.orderBy(*rank_order())).cast("bigint"))
 
 
 def number_rows(df: DataFrame, order: list[Column] | None = None) -> DataFrame:

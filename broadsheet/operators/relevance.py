@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from broadsheet.functions.text import is_yes
 from broadsheet.operators.rank import top
 from broadsheet.settings import Settings
+from broadsheet.storage import Workspace
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -61,6 +63,64 @@ def model_scorer(model: PipelineModel) -> Scorer:
     return score
 
 
+@dataclass(frozen=True)
+class WordModel:
+    """Words with their log likelihood ratio as a table (``word``, ``ratio``), the ratio of words never seen,
+    and the log odds of the labels."""
+
+    ratios: DataFrame
+    unseen: Column
+    prior: Column
+
+
+def _words(text: Column) -> Column:
+    return F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"([a-z0-9]+)"), F.lit(1)))
+
+
+def fit_word_model(examples: DataFrame) -> WordModel:
+    """Multinomial naive Bayes with one added to each count, fitted by counting words of ``text`` by ``label``
+    (1 = relevant). The vocabulary stays a table, of any size; only totals reach the driver."""
+    work = Workspace(examples.sparkSession, "words")
+    yes = F.col("label") == 1
+    counts = work.write(
+        examples.select("label", _words(F.col("text")).alias("word")).groupBy("word").agg(
+            F.count_if(yes).alias("yes"), F.count_if(~yes).alias("no")
+        )
+    )
+    total = counts.agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"), F.count(F.lit(1)).alias("words")).first()
+    documents = examples.agg(F.count_if(yes).alias("yes"), F.count_if(~yes).alias("no")).first()
+    yes_total, no_total = ((total[side] or 0) + total["words"] + 1 for side in ("yes", "no"))
+    ratio = F.log((F.col("yes") + 1) / F.lit(float(yes_total))) - F.log((F.col("no") + 1) / F.lit(float(no_total)))
+    prior = F.log(F.lit((documents["yes"] + 1.0) / (documents["no"] + 1.0)))
+    return WordModel(counts.select("word", ratio.alias("ratio")), F.log(F.lit(float(no_total) / yes_total)), prior)
+
+
+def word_scores(items: DataFrame, model: WordModel) -> DataFrame:
+    """``ord`` and ``score`` of each item (``ord``, ``text``): the log odds that it is relevant, by the mean of its words.
+
+    Words are counted in each item before they meet the vocabulary, so a frequent word costs one
+    row per item.
+    """
+    counted = items.select("ord", _words(F.col("text")).alias("word")).groupBy("ord", "word").agg(F.count(F.lit(1)).alias("n"))
+    looked_up = counted.join(model.ratios, "word", "left")
+    sums = looked_up.groupBy("ord").agg(
+        (F.sum(F.col("n") * F.coalesce("ratio", model.unseen)) / F.sum("n")).alias("mean")
+    )
+    return items.select("ord").join(sums, "ord", "left").select("ord", (F.coalesce("mean", F.lit(0.0)) * 10 + model.prior).alias("score"))
+
+
+def word_model_scorer(model: WordModel) -> Scorer:
+    """A counted classifier as a scorer over title and whole snippet; YES for positive scores."""
+
+    def score(df: DataFrame) -> DataFrame:
+        scores = word_scores(df.select("ord", F.concat_ws(" ", "title", "reasoning").alias("text")), model)
+        answer = F.when(F.col("score") > 0, "YES").otherwise("NO")
+        scored = df.join(scores, "ord").withColumn("is_relevant", answer)
+        return scored.withColumn("reasoning", F.lit("classifier")).select(*df.columns, "is_relevant")
+
+    return score
+
+
 def score_relevance(df: DataFrame, scorer: Scorer, cap: int | None = None) -> DataFrame:
     """Articles answered YES among the first ``cap`` of the ranking (all of them without a cap).
     The cap comes first, so that a costly scorer sees no more rows than it must."""

@@ -19,8 +19,8 @@ DateExtractor = Callable[[DataFrame], DataFrame]
 def judge_dates(df: DataFrame, settings: Settings, extractor: DateExtractor | None = None) -> DataFrame:
     """Add ``pub_date`` and ``drop_reason`` (NULL, 'old' or 'unverifiable').
 
-    A known date is trusted, except an aggregator's that the url does not confirm. By default the first date-like string of the whole snippet decides untrusted rows, inside the
-    same stage. A custom extractor (a model in ``mapInPandas``, say) sees only those rows.
+    A known date is trusted, except an aggregator's that the url does not confirm. By default the
+    first date-like string of title and whole snippet decides untrusted rows, inside the same stage. A custom extractor (a model in ``mapInPandas``, say) sees only those rows.
     """
     incoming = F.coalesce("seendate", F.lit(UNKNOWN_DATE))
     from_text = date_from_text(incoming, settings.as_of)
@@ -33,7 +33,7 @@ def judge_dates(df: DataFrame, settings: Settings, extractor: DateExtractor | No
 
     trusted = bind(from_url, known)
     if extractor is None:
-        found = date_in_text(F.col("reasoning"), settings.as_of)
+        found = date_in_text(F.concat_ws("\n", "title", "reasoning"), settings.as_of)
         dated = df.withColumn("pub_date", F.coalesce(trusted, found).cast("date"))
     else:
         found = date_from_text(F.col("date_str"), settings.as_of)

@@ -81,7 +81,7 @@ def digest_full(spark, sf_dir):
 
 @query
 def listing(spark, sf_dir):
-    return digest.listing(_labelled(spark, sf_dir), reference.tier_table(spark, fixed.LISTING_TIERS)).drop("ord")
+    return digest.listing(_labelled(spark, sf_dir), reference.tier_table(spark, fixed.LISTING_TIERS))
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,6 +293,14 @@ def search_near(spark, sf_dir):
     return filters.search_near(_table(spark, sf_dir, "documents"), "text", ["with", "from"], 20).select("doc_id")
 
 
+@query
+def search_mixed(spark, sf_dir):
+    """Distances and phrases in one OR group, beside a phrase that must not occur."""
+    body = F.col("text")
+    wanted = filters.near(body, ["with", "from"], 3) | filters.near(body, ["with", "that"], 3) | filters.phrase(body, "Worthless")
+    return _table(spark, sf_dir, "documents").filter(wanted & ~filters.phrase(body, "que la")).select("doc_id")
+
+
 @query
 def search_near_three(spark, sf_dir):
     return filters.search_near(_table(spark, sf_dir, "documents"), "text", ["with", "from", "that"], 15).select("doc_id")
@@ -507,6 +515,20 @@ def gdelt_items(spark, sf_dir):
     return items.select("ord", "title", "url", "seendate", "api_source")
 
 
+def _files(payloads: DataFrame, kind: str) -> str:
+    """The payloads as plain files in one folder, in the order of their names."""
+    path = Workspace(payloads.sparkSession, kind).path
+    payloads.orderBy("payload_no").select("payload").write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+@query
+def gdelt_files(spark, sf_dir):
+    """The same payloads from files; what the reader numbers itself must keep their order."""
+    items = landing.read_gdelt(spark, _files(_gdelt_payloads(spark, sf_dir), "gdelt"), FEED_SETTINGS)
+    return items.select("ord", "title", "url", "seendate", "api_source")
+
+
 @query
 def gdelt_context(spark, sf_dir):
     payloads = _gdelt_payloads(spark, sf_dir)
@@ -514,13 +536,25 @@ def gdelt_context(spark, sf_dir):
     return both.select("payload_no", "pos", "url", "title", "seendate", "domain", "api_source")
 
 
+def _search_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _json_payloads(
+        landed_articles(spark, sf_dir),
+        "results",
+        F.col("title"),
+        F.col("url"),
+        F.col("seendate").alias("published_date"),
+        F.col("reasoning").alias("content"),
+    )
+
+
 @query
 def search_items(spark, sf_dir):
-    feed = landed_articles(spark, sf_dir)
-    payloads = _json_payloads(
-        feed, "results", F.col("title"), F.col("url"), F.col("seendate").alias("published_date"), F.col("reasoning").alias("content")
-    )
-    return _brief(landing.search_items(payloads, FEED_SETTINGS))
+    return _brief(landing.search_items(_search_payloads(spark, sf_dir), FEED_SETTINGS))
+
+
+@query
+def search_files(spark, sf_dir):
+    return _brief(landing.read_search(spark, _files(_search_payloads(spark, sf_dir), "search"), FEED_SETTINGS))
 
 
 def _escape(column: str) -> Column:
@@ -544,15 +578,24 @@ def _feed_payloads(feed: DataFrame, link: Column, pub_date: Column) -> DataFrame
     return grouped.select("payload_no", F.concat(F.lit(head), "items", F.lit("</channel></rss>")).alias("payload"))
 
 
-@query
-def rss_items(spark, sf_dir):
+def _rss_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = landed_articles(spark, sf_dir)
     link = F.when(
         F.col("ord") % 5 == 0, F.concat(F.lit("https://www.state.gov/art/"), F.date_format("day", "yyyy/M/d"), F.lit("/"), "ord")
     ).otherwise(F.col("url"))
     stamp = F.unix_millis(F.col("day").cast("timestamp")) + 43_200_000
     pub_date = F.when(F.col("ord") % 2 == 0, stamp.cast("string")).otherwise(F.date_format("day", "EEE, dd MMM yyyy HH:mm:ss"))
-    return landing.rss_items(_feed_payloads(feed, link, pub_date), FEED_SETTINGS)
+    return _feed_payloads(feed, link, pub_date)
+
+
+@query
+def rss_items(spark, sf_dir):
+    return landing.rss_items(_rss_payloads(spark, sf_dir), FEED_SETTINGS)
+
+
+@query
+def rss_files(spark, sf_dir):
+    return landing.read_rss(spark, _files(_rss_payloads(spark, sf_dir), "rss"), FEED_SETTINGS)
 
 
 @query
@@ -666,12 +709,33 @@ def relevant_articles(spark, sf_dir):
     return kept.select("ord", "reasoning")
 
 
+def _held_out(column: str) -> Column:
+    """A quarter of the documents, by the first digit of the id's hash."""
+    return F.substring(F.md5(F.col(column).cast("string").cast("binary")), 1, 1).isin("0", "4", "8", "c")
+
+
+def _word_model(spark: SparkSession, sf_dir: str) -> relevance.WordModel:
+    """A classifier fitted on three quarters of the labelled documents; ``quality`` stands in for relevance."""
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    examples = _table(spark, sf_dir, "documents").join(labels, "doc_id").filter(~_held_out("doc_id"))
+    return relevance.fit_word_model(examples.select("text", "label"))
+
+
 @query
 def relevance_model(spark, sf_dir):
-    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    examples = _table(spark, sf_dir, "documents").join(labels, "doc_id").select("text", "label")
-    model = relevance.fit_relevance_model(examples)
-    return relevance.score_relevance(_described(spark, sf_dir), relevance.model_scorer(model)).select("ord", "title")
+    """Every document with the score of the counted classifier."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), "text")
+    return relevance.word_scores(docs, _word_model(spark, sf_dir)).select("ord", F.round("score", 6).alias("score"))
+
+
+@query
+def relevance_model_quality(spark, sf_dir):
+    """Right and wrong answers on the labelled documents that were held out."""
+    docs = _table(spark, sf_dir, "documents").filter(_held_out("doc_id")).select(F.col("doc_id").alias("ord"), "text")
+    scores = relevance.word_scores(docs, _word_model(spark, sf_dir))
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("ord"), "quality")
+    answer = (F.round("score", 6) > 0).alias("answer")
+    return scores.join(labels, "ord").groupBy("quality", answer).agg(F.count(F.lit(1)).alias("items"))
 
 
 # --- streaming -------------------------------------------------------------------------------
@@ -679,9 +743,12 @@ def relevance_model(spark, sf_dir):
 
 @query
 def stream_digest(spark, sf_dir):
-    """The feed landed by a stream, then deduplicated from the table it wrote."""
+    """The feed landed by a stream of four files and triggers, then deduplicated from the table it wrote."""
     folder = Workspace(spark, "stream").path
-    raw = landed_stream(spark, sf_dir).drop("day")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs.repartitionByRange(4, "doc_id").write.parquet(f"{folder}/documents")
+    arrived = dates.wall_clock(FEED_SETTINGS.as_of)
+    raw = landed_stream(spark, f"{folder}/documents", "*.parquet").drop("day").withColumn("arrived", arrived)
     landing_stream.land_articles(raw, FEED_SETTINGS, f"{folder}/articles", f"{folder}/progress").awaitTermination()
     window = landing_stream.landed_window(spark, f"{folder}/articles", FEED_SETTINGS)
     return dedup.dedup_greedy(window).select("ord", "title", "url", "seendate", "tier")

@@ -47,7 +47,8 @@ def run_digest(
     Stages that several others read are tables in the checkpoint folder; the rest is lazy.
     """
     work = Workspace(raw.sparkSession, "digest")
-    unique = work.write(curate(raw, settings))
+    # The articles and the keys that stay are tables already; a copy of both is not made.
+    unique = curate(raw, settings)
     dated = work.write(validate_dates(unique, settings, extractor))
     scorer = scorer or relevance.rule_scorer(settings)
     relevant = work.write(relevance.score_relevance(dated, scorer, settings.relevance_cap))
@@ -73,7 +74,8 @@ def listing(articles: DataFrame, tiers: DataFrame, default_tier: int = fixed.LIS
     """The stand-alone listing over a labelled union (ord, api_source, url, domain, title, …).
 
     Allowed domains are those of the tier table, exact match; the first row of each canonical url
-    stays, all columns are kept, and tier and a printed label are added.
+    stays, all columns are kept, and tier and a printed label are added. Rows come in tier order,
+    then in their own, by a range-partitioned sort.
     """
     allowed = tiers.select(F.col("domain").alias("_allowed"))
     items = articles.filter(F.col("url") != "").join(allowed, F.col("domain") == F.col("_allowed"), "left_semi")
@@ -84,4 +86,4 @@ def listing(articles: DataFrame, tiers: DataFrame, default_tier: int = fixed.LIS
     label = F.format_string(
         "[T%d] [%s] [%+.1f] [%s] %s", "tier", F.coalesce("sourcecountry", F.lit("")), tone, "api_source", "title"
     )
-    return tiered.withColumn("label", label)
+    return tiered.withColumn("label", label).orderBy("tier", "ord")

@@ -181,7 +181,7 @@ _CANDIDATE = (
 
 
 def judged(source: str) -> str:
-    found = f"regexp_extract(reasoning, '{_CANDIDATE}')"
+    found = f"regexp_extract(concat_ws(chr(10), title, reasoning), '{_CANDIDATE}')"
     return f"""
 j_found AS (SELECT *, {found} AS candidate, {parsed()} AS known, {url_date('url')} AS from_url FROM {source}),
 j_dated AS (
@@ -228,7 +228,7 @@ ORACLE["listing"] = with_(
     + f""",
 listed AS (SELECT l.*, t.tier, row_number() OVER (PARTITION BY {canonical('url')} ORDER BY ord) AS n
   FROM labelled l JOIN {_LISTED} ON l.domain = t.name)""",
-    """SELECT title, url, seendate, domain, sourcecountry, tone, api_source, tier,
+    """SELECT ord, title, url, seendate, domain, sourcecountry, tone, api_source, tier,
   '[T' || tier || '] [' || sourcecountry || '] [' || printf('%+.1f', coalesce(CAST(tone AS DOUBLE), 0.0)) || '] [' || api_source || '] ' || title AS label
 FROM listed WHERE n = 1""",
 )
@@ -338,6 +338,12 @@ ORACLE["search_near"] = with_(
     """SELECT DISTINCT a.doc_id FROM hits a JOIN hits b ON a.doc_id = b.doc_id AND abs(a.at - b.at) <= 20
 WHERE a.word = 'with' AND b.word = 'from'""",
 )
+ORACLE["search_mixed"] = with_(
+    _PLACES,
+    """SELECT doc_id FROM documents WHERE NOT contains(lower(text), 'que la') AND (contains(lower(text), 'worthless')
+  OR doc_id IN (SELECT a.doc_id FROM hits a JOIN hits b ON a.doc_id = b.doc_id AND abs(a.at - b.at) <= 3
+    WHERE a.word = 'with' AND b.word IN ('from', 'that')))""",
+)
 ORACLE["search_near_three"] = with_(
     _PLACES,
     """SELECT DISTINCT a.doc_id FROM hits a
@@ -607,8 +613,33 @@ ORACLE["relevant_articles"] = with_(DESCRIBED, f"SELECT ord, {MATCHED} AS reason
 
 ORACLE["stream_digest"] = with_(
     NORMALIZED
-    + ", windowed AS (SELECT * FROM articles WHERE seendate >= '20240124' OR seendate = '00000000'),"
-    + greedy("windowed"),
-    "SELECT ord, title, url, seendate, tier FROM windowed WHERE ord IN (SELECT ord FROM g_kept)",
+    + ","
+    + greedy("articles"),
+    "SELECT ord, title, url, seendate, tier FROM articles WHERE ord IN (SELECT ord FROM g_kept)",
     recursive=True,
 )
+
+# The same payloads, read from files.
+for _kind in ("gdelt", "search", "rss"):
+    ORACLE[f"{_kind}_files"] = ORACLE[f"{_kind}_items"]
+
+_OUT = "left(md5(CAST(doc_id AS VARCHAR)), 1) IN ('0', '4', '8', 'c')"
+_WORD_LIST = "regexp_extract_all(lower(text), '[a-z0-9]+')"
+_WORD_SCORES = f"""
+e AS (SELECT text, quality AS label FROM documents JOIN labels USING (doc_id) WHERE NOT ({_OUT})),
+ew AS (SELECT label, unnest({_WORD_LIST}) AS word FROM e),
+counts AS (SELECT word, count(*) FILTER (WHERE label = 1) AS yes, count(*) FILTER (WHERE label <> 1) AS no FROM ew GROUP BY word),
+t AS (SELECT sum(yes) + count(*) + 1 AS ty, sum(no) + count(*) + 1 AS tn FROM counts),
+p AS (SELECT ln((count(*) FILTER (WHERE label = 1) + 1.0) / (count(*) FILTER (WHERE label <> 1) + 1.0)) AS prior FROM e),
+ratios AS (SELECT word, ln((yes + 1) / ty) - ln((no + 1) / tn) AS ratio FROM counts, t),
+dw AS (SELECT doc_id AS ord, unnest({_WORD_LIST}) AS word FROM documents),
+means AS (SELECT ord, avg(coalesce(ratio, (SELECT ln(tn / ty) FROM t))) AS mean FROM dw LEFT JOIN ratios USING (word) GROUP BY ord),
+scores AS (
+  SELECT doc_id AS ord, coalesce(mean, 0) * 10 + prior AS score
+  FROM documents LEFT JOIN means ON ord = doc_id, p)"""
+ORACLE["relevance_model"] = with_(_WORD_SCORES.strip(), "SELECT ord, round(score, 6) AS score FROM scores")
+ORACLE["relevance_model_quality"] = with_(
+    _WORD_SCORES.strip(),
+    f"""SELECT quality, round(score, 6) > 0 AS answer, count(*) AS items
+FROM scores JOIN labels ON ord = doc_id WHERE {_OUT} GROUP BY ALL""",
+)

@@ -5,6 +5,9 @@ ARTICLE = (
     "tier INT, reasoning STRING"
 )
 
+# Landed articles: dates as they came and as they were read on arrival.
+LANDED = f"{ARTICLE}, raw_date STRING, published TIMESTAMP_NTZ"
+
 GDELT_PAYLOAD = (
     "articles ARRAY<STRUCT<url: STRING, title: STRING, seendate: STRING, domain: STRING, "
     "sourcecountry: STRING, tone: STRING>>"
@@ -16,5 +19,3 @@ SEARCH_PAYLOAD = (
 )
 
 RSS_ITEM = "title STRING, link STRING, description STRING, pubDate STRING"
-
-HARVEST = "ARRAY<STRUCT<title: STRING, url: STRING, reasoning: STRING, date: STRING>>"

@@ -15,6 +15,7 @@ from broadsheet.functions.dates import date_from_url, mail_or_raw, millis_stamp,
 from broadsheet.functions.text import contains_any, repair_ampersands
 from broadsheet.functions.urls import url_path_date
 from broadsheet.operators.lookup import resolve_urls
+from broadsheet.operators.rank import number_rows
 from broadsheet.schema import GDELT_PAYLOAD, RSS_ITEM, SEARCH_PAYLOAD
 from broadsheet.settings import Settings
 
@@ -34,11 +35,20 @@ def item_order(source_rank: int, payload_no: Column, position: Column) -> Column
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Whole files as payloads; ``payload_no`` is the partition folder ``payload_no=N``, else 0."""
+    """Whole files as payloads with a ``payload_no`` each: that of the folder ``payload_no=N``, which
+    must then hold one file, else the file's place in the order of paths, from 0."""
     files = spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
-    if "payload_no" not in files.columns:
-        files = files.withColumn("payload_no", F.lit(0))
-    return files.select(F.col("payload_no").cast("bigint").alias("payload_no"), "payload")
+    if "payload_no" in files.columns:
+        # Listing the files does not read them.
+        listed = spark.read.format("binaryFile").load(path).select("payload_no")
+        crowded = listed.groupBy("payload_no").count().filter("count > 1").head(1)
+        if crowded:
+            raise ValueError(f"{path}: several files under payload_no={crowded[0][0]}")
+        return files.select(F.col("payload_no").cast("bigint").alias("payload_no"), "payload")
+    listed = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("_file"))
+    numbered = number_rows(listed, [F.col("_file").asc()]).select("_file", (F.col("idx") - 1).alias("payload_no"))
+    placed = spark.read.text(path, wholetext=True).select(F.col("value").alias("payload"), F.col("_metadata.file_path").alias("_file"))
+    return placed.join(numbered, "_file").select("payload_no", "payload")
 
 
 def _items(rows: DataFrame, source: str, **columns: Column) -> DataFrame:

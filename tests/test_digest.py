@@ -1,12 +1,14 @@
 """Stages, sinks, numbering, scorers and the stream."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from broadsheet.operators import rank, relevance, sinks, validate
+from broadsheet.operators.dedup import dedup_greedy
 from broadsheet.operators.filters import search_near
+from broadsheet.operators.normalize import normalize
 from broadsheet.plans import digest
 from broadsheet.settings import Settings
 from broadsheet.sources.articles import FEED_SETTINGS, landed_articles, landed_stream
@@ -185,10 +187,27 @@ def test_stream_in_pieces_equals_batch(spark, tmp_path):
     query = landing_stream.land_articles(raw, FEED_SETTINGS, table, str(tmp_path / "progress"))
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 4
-    from broadsheet.operators.dedup import dedup_greedy
-    from broadsheet.operators.normalize import normalize
-
     window = landing_stream.landed_window(spark, table, FEED_SETTINGS)
     batch = normalize(landed_articles(spark, SMALL), FEED_SETTINGS)
-    batch = batch.filter((F.col("seendate") >= "20240124") | (F.col("seendate") == "00000000"))
-    assert {r.ord for r in dedup_greedy(window).collect()} == {r.ord for r in dedup_greedy(batch).collect()}
+    assert sorted(map(tuple, window.collect())) == sorted(map(tuple, batch.collect()))
+    # A later window over the same table is that of a later batch run.
+    later = FEED_SETTINGS.with_(as_of=FEED_SETTINGS.as_of + timedelta(days=3))
+    assert {r.ord for r in landing_stream.landed_window(spark, table, later).collect()} == {
+        r.ord for r in normalize(landed_articles(spark, SMALL), later).collect()
+    }
+
+
+def test_stream_across_the_turn_of_the_year(spark, tmp_path):
+    """Dates without a year are read as of each item's arrival."""
+    rows = [(1, "2025-12-30 08:00:00"), (2, "2026-01-16 08:00:00")]
+    for ord_, arrived in rows:
+        item = (ord_, "Two words", f"https://state.gov/{ord_}", "January 15", "gdelt", "", datetime.fromisoformat(arrived))
+        frame = spark.createDataFrame([item], "ord BIGINT, title STRING, url STRING, seendate STRING, api_source STRING, reasoning STRING, arrived TIMESTAMP_NTZ")
+        frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    raw = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    table = str(tmp_path / "table")
+    landing_stream.land_articles(raw, FEED_SETTINGS, table, str(tmp_path / "progress")).awaitTermination()
+    landed = {r.ord: r.seendate for r in spark.read.parquet(table).selectExpr("ord", "CAST(seendate AS STRING) AS seendate").collect()}
+    assert landed == {1: "20250115", 2: "20260115"}
+    window = landing_stream.landed_window(spark, table, FEED_SETTINGS.with_(as_of=datetime(2026, 1, 17)))
+    assert [r.ord for r in window.collect()] == [2]

@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 
+from broadsheet.operators.dedup import dedup_greedy
 from broadsheet.operators.normalize import normalize
 from broadsheet.settings import Settings
 from broadsheet.sources import landing, reference
@@ -39,6 +40,28 @@ def test_gdelt(spark, tmp_path):
     assert landing.read_gdelt(spark, path, SETTINGS.with_(gdelt_records=2)).count() == 2
 
 
+def test_plain_files_are_told_apart(spark, tmp_path):
+    """Files in one folder, in name order; of two copies of an article the dedup keeps one."""
+    folder = tmp_path / "plain folder"
+    folder.mkdir()
+    article = {"url": "https://www.state.gov/a", "title": "Two words", "seendate": "20260526T101500Z"}
+    for name in ("b +%41.json", "a.json", "c é.json"):
+        other = {"url": f"https://www.state.gov/{ord(name[0])}", "title": f"Other {name[0]}", "seendate": "20260526T101500Z"}
+        (folder / name).write_text(json.dumps({"articles": [article, other]}), encoding="utf-8")
+    items = landing.read_gdelt(spark, str(folder), SETTINGS)
+    rows = items.orderBy("ord").collect()
+    assert len({r.ord for r in rows}) == 6 and [r.title for r in rows[1::2]] == ["Other a", "Other b", "Other c"]
+    kept = dedup_greedy(normalize(items, SETTINGS)).collect()
+    assert sorted(r.title for r in kept) == ["Other a", "Other b", "Other c", "Two words"]
+
+
+def test_several_files_under_one_number(spark, tmp_path):
+    path = land(tmp_path / "gdelt", ["{}", "{}"])
+    (tmp_path / "gdelt" / "payload_no=1" / "more.txt").write_text("{}")
+    with pytest.raises(ValueError, match="payload_no=1"):
+        landing.read_gdelt(spark, path, SETTINGS)
+
+
 def test_search(spark, tmp_path):
     one = {"results": [{"title": "A b", "url": "https://reuters.com/1", "published_date": "Wed, 27 May 2026 10:00:01 GMT", "content": "x"}]}
     two = {"results": [{"title": "C d", "url": "https://reuters.com/2", "published_date": None, "content": None, "score": 0.5}]}
