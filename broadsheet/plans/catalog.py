@@ -487,6 +487,16 @@ def union_sources(spark, sf_dir):
     return merged.withColumn("source_rank", rank_of.cast("int"))
 
 
+@query
+def reference_pages(spark, sf_dir):
+    """The configured index pages with the number of feed articles from their hosts."""
+    counts = _described(spark, sf_dir).groupBy("domain").agg(F.count(F.lit(1)).alias("articles"))
+    listed = reference.page_table(spark).withColumn("domain", urls.url_domain(F.col("url")))
+    return listed.join(counts, "domain", "left").select(
+        "page_no", "url", "api_source", "domain", F.coalesce("articles", F.lit(0)).cast("long").alias("articles")
+    )
+
+
 @query
 def source_toggle(spark, sf_dir):
     settings = FEED_SETTINGS.with_(enabled_sources=("gdelt", "rss"))
@@ -665,6 +675,12 @@ def page_lines(spark, sf_dir):
     return pages.page_lines(pages.page_contents(_table(spark, sf_dir, "pages")), FEED_SETTINGS)
 
 
+@query
+def page_lines_cut(spark, sf_dir):
+    """The first five kept lines of each page, the cut a reader with little room asks for."""
+    return pages.page_lines(pages.page_contents(_table(spark, sf_dir, "pages")), FEED_SETTINGS.with_(max_page_lines=5))
+
+
 @query
 def page_time_tags(spark, sf_dir):
     lines = pages.page_lines(pages.page_contents(_dated_pages(spark, sf_dir)), FEED_SETTINGS)

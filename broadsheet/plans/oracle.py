@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from broadsheet.fixed_values import LINE_KEYWORDS, OFFICIAL_PAGES, STATE_MEDIA_PAGES
+
 ORACLE: dict[str, str] = {}
 
 WS = r"[\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -528,12 +530,11 @@ nodes AS (SELECT page_id, url, list_filter(list_transform(string_split(f, chr(1)
 contents AS (SELECT page_id, url, array_to_string(n, chr(10)) AS content FROM nodes)"""
 
 
-_LINE_WORDS = ("CHINA", "CHINESE", "US-", "U.S.", "USA", "TRADE", "SANCTION", "CHIP", "TAIWAN", "MILITARY", "BEIJING", "WASHINGTON")
 _KEEP = (
     "l <> '' AND NOT (length(l) < 50 AND ("
     + " OR ".join(f"contains(lower(l), '{p}')" for p in ("january 31, 2024", "31 january 2024", "2024-01-31", "published time", "updated at"))
     + r")) AND (length(l) > 40 OR (contains(l, '[') AND contains(l, '](')) OR regexp_matches(l, '(?i)\d{4}[-/]\d{1,2}[-/]\d{1,2}|(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]* \d{1,2}') OR "
-    + " OR ".join(f"contains(upper(l), '{w}')" for w in _LINE_WORDS)
+    + " OR ".join(f"contains(upper(l), '{w}')" for w in LINE_KEYWORDS)
     + ")"
 )
 LINES = rf""",
@@ -553,6 +554,7 @@ FROM anchors""",
 )
 ORACLE["page_text"] = with_(page_ctes(), "SELECT page_id, md5(content) AS content FROM contents")
 ORACLE["page_lines"] = with_(page_ctes() + LINES, "SELECT page_id, line_no, line FROM lines")
+ORACLE["page_lines_cut"] = with_(page_ctes() + LINES, "SELECT page_id, line_no, line FROM lines WHERE line_no < 5")
 DATED_PAGES = r"""
 dated_pages AS (
   SELECT page_id, url, replace(regexp_replace(html, '<li><a href="([^"]*)">', '<li><a href="/item\1">Report on ', 'g'), '</a></li>',
@@ -643,3 +645,17 @@ ORACLE["relevance_model_quality"] = with_(
     f"""SELECT quality, round(score, 6) > 0 AS answer, count(*) AS items
 FROM scores JOIN labels ON ord = doc_id WHERE {_OUT} GROUP BY ALL""",
 )
+
+_PAGES = ", ".join(
+    f"({i}, '{url}', '{source}')"
+    for i, (url, source) in enumerate(
+        [(url, "official_scrape") for url in OFFICIAL_PAGES] + [(url, "chinese_state_media") for url in STATE_MEDIA_PAGES]
+    )
+)
+ORACLE["reference_pages"] = with_(
+    DESCRIBED
+    + f""",
+listed AS (SELECT page_no, url, api_source, {domain('url')} AS domain FROM (VALUES {_PAGES}) AS v(page_no, url, api_source)),
+hosts AS (SELECT domain, count(*) AS articles FROM described GROUP BY domain)""",
+    "SELECT page_no, url, api_source, domain, coalesce(articles, 0) AS articles FROM listed LEFT JOIN hosts USING (domain)",
+)
