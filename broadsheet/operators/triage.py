@@ -13,7 +13,8 @@ The walk runs as rounds over tables, exact and without comparing all pairs of a
    more than that, the keys are the sets themselves and the sets without one word, so that sets
    with a common key are mirrors. Otherwise they are combinations of three of the rarest words
    (of two sets that share enough words, the beginnings in a common word order share three).
-   Sets of more than 40 words use single words of their rarest fifth.
+   Sets of more than 40 words use pairs of their rarest words, whatever the partner's size, and those
+   of more than 200, for which pairs become too many, single words of their rarest fifth.
 3. In each round the PIVOTS most authoritative live sets of a key are compared with the key's
    members of the partner size. A set whose earlier members were all compared and none of which is
    similar is kept; a set similar to a kept one is dropped; the others go on to the next round. A
@@ -34,10 +35,12 @@ from broadsheet.storage import Workspace
 PIVOTS = 8
 # A word in more than one in FREQUENT of the word occurrences sorts behind the others, by count.
 FREQUENT = 10_000
-# Sets up to BY_SIZE words have keys per partner size; larger ones, and those that can have larger
-# partners, have single words as keys.
+# Sets up to BY_SIZE words have keys per partner size; larger ones up to BY_PAIR, and those that can
+# have such partners, have pairs of words as keys; the largest and their partners single words.
 BY_SIZE = 40
-SINGLES_FROM = 33
+PAIRS_FROM = 33
+BY_PAIR = 200
+SINGLES_FROM = 161
 
 
 def authority(domain: Column) -> Column:
@@ -87,6 +90,16 @@ def _triples(prefix: Column, tag: list[Column]) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(1), n - 2), second))
 
 
+def _pairs(prefix: Column, tag: list[Column]) -> Column:
+    """Hashes of all two-word combinations of a list of words."""
+    n = F.size(prefix)
+
+    def second(i: Column) -> Column:
+        return F.transform(F.slice(prefix, i + 1, n), lambda word: F.xxhash64(*tag, F.element_at(prefix, i), word))
+
+    return F.flatten(F.transform(F.sequence(F.lit(1), n - 1), second))
+
+
 def _keys_for(words: Column, n: Column, partner: Column) -> Column:
     """Keys that a set of n words shares with each of its mirrors of ``partner`` words."""
     smaller, larger = F.least(n, partner), F.greatest(n, partner)
@@ -116,14 +129,16 @@ def _keyed(sets: DataFrame) -> DataFrame:
 
     by_size = F.when(n <= BY_SIZE, F.flatten(F.transform(F.sequence(fewest, most), of_partner)))
     any_size = F.lit(0)
-    singles = F.when(
-        n >= SINGLES_FROM,
-        F.transform(
-            F.slice(words, F.lit(1), n - fewest + 1),
-            lambda word: F.struct(F.xxhash64(word).alias("key"), any_size.alias("size"), any_size.alias("partner")),
-        ),
-    )
-    keys = F.when(n < SINGLES_FROM, by_size).when(n > BY_SIZE, singles).otherwise(F.concat(by_size, singles))
+
+    def of_any(keys: Column) -> Column:
+        return F.transform(keys, lambda key: F.struct(key.alias("key"), any_size.alias("size"), any_size.alias("partner")))
+
+    # Two mirrors share at least ``fewest`` words, so their beginnings share one, or two if a word longer.
+    beginning = F.slice(words, F.lit(1), n - fewest + 2)
+    pairs = F.when(n.between(PAIRS_FROM, BY_PAIR), of_any(bind(beginning, lambda prefix: _pairs(prefix, [any_size]))))
+    singles = F.when(n >= SINGLES_FROM, of_any(F.transform(F.slice(words, F.lit(1), n - fewest + 1), lambda word: F.xxhash64(word))))
+    nothing = F.array().cast("array<struct<key: bigint, size: int, partner: int>>")
+    keys = F.concat(*(F.coalesce(part, nothing) for part in (by_size, pairs, singles)))
     return sets.select("rank", "words", F.explode(keys).alias("key")).select("rank", "words", "key.*")
 
 

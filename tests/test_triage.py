@@ -52,6 +52,7 @@ CASES = {
     "short": make(1, 150, 30, [1, 2, 3, 4, 5, 6], 2),
     "usual": make(2, 200, 80, [7, 9, 12, 15], 4),
     "around_forty": make(3, 80, 120, [33, 38, 40, 41, 44, 48], 12),
+    "around_two_hundred": make(5, 40, 600, [158, 165, 199, 201, 204, 240], 40),
     "few_words": make(4, 150, 9, [4, 5, 6], 2),
     "wordless": [(i, t, "x.com", 1, "20240101") for i, t in enumerate(["中美", "中美", "!!", "a b", "B a"])],
 }
@@ -65,6 +66,22 @@ def test_like_brute_force(spark, name, pivots):
     assert sorted(row.ord for row in triage(df, pivots=pivots).collect()) == brute_force(rows)
 
 
+def test_rounds_do_not_grow_with_a_shared_word(spark, monkeypatch):
+    """Long titles that share one word and nothing else are no candidates of one another."""
+    from broadsheet.storage import Workspace
+
+    def tables(n):
+        written = []
+        write = Workspace.write
+        monkeypatch.setattr(Workspace, "write", lambda self, df: written.append(1) or write(self, df))
+        rows = [(i, " ".join(["shared", *(f"w{i}x{j}" for j in range(44))]), "x.com", 1, "20240101") for i in range(n)]
+        assert triage(spark.createDataFrame(rows, SCHEMA)).count() == n
+        monkeypatch.undo()
+        return len(written)
+
+    assert tables(40) == tables(160) == tables(640)
+
+
 def test_cap_looks_at_the_best_only(spark):
     rows = [(i, f"title number{i} of many", "x.com", 1, "20240101") for i in range(10)]
     df = spark.createDataFrame(rows, SCHEMA)
