@@ -22,18 +22,20 @@ BLOCK = 2048
 
 
 def number_distinct(df: DataFrame, columns: list[str], work: Workspace, name: str = "name") -> DataFrame:
-    """The distinct rows of ``columns``, sorted and numbered from 0, as a table.
+    """The distinct rows of ``columns`` with an integer each, as a table.
 
-    A range-partitioned sort, and offsets from one count per partition; no global window.
+    Rows are dealt by hash, as for any distinct, and sorted there; a row's number is its place in
+    its partition plus the rows of the partitions before. Range partitioning would sort all of them
+    in one order, which names do not need, and would send a sample of whole blocks to the driver.
     """
     place = F.monotonically_increasing_id()
-    ranked = df.select(*columns).distinct().orderBy(*columns)
+    sorted_ = df.select(*columns).distinct().sortWithinPartitions(*columns)
     slots = work.write(
-        ranked.select("*", F.shiftright(place, 33).alias("_part"), place.bitwiseAND((1 << 33) - 1).alias("_place"))
+        sorted_.select("*", F.shiftright(place, 33).alias("_part"), place.bitwiseAND((1 << 33) - 1).alias("_place"))
     )
     sizes = slots.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition of the sort, whatever the data size: safe to broadcast.
+    # One row per partition of the distinct rows, whatever the data size: safe to broadcast.
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     numbered = slots.join(F.broadcast(offsets), "_part")
     return numbered.select(*columns, (F.col("_offset") + F.col("_place")).alias(name))
@@ -78,7 +80,10 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     work = Workspace(docs.sparkSession, "exact")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signature = [F.length("text").alias("chars"), F.xxhash64("text").alias("hash")]
-    shared = rows.select(*signature).groupBy("chars", "hash").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    # A table of its own, so that the join is between two exchanges and a hot signature can be split.
+    shared = work.write(
+        rows.select(*signature).groupBy("chars", "hash").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    )
     found = rows.select("id", "text", digest(F.col("text")).alias("digest"), *signature).join(
         shared, ["chars", "hash"], "left"
     )
