@@ -32,6 +32,9 @@ BINS = 1 << 14
 # are far from independent, and a long text is not surer than its style.
 WEIGHT = 12.0
 SMOOTHING = 1.0
+# About so many labelled documents are fitted at most, chosen by the hash of their ids. Their ids and
+# labels are broadcast, so that no text moves to meet its label.
+FIT_ROWS = 20_000
 
 
 def traits(text: str) -> list[str]:
@@ -100,6 +103,13 @@ def _count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=["label", "bin", "times"]).astype("int64")
 
 
+def bounded(labels: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` rows of ``labels`` (``label_id``) at most, the same ones each time."""
+    scale = 1 << 20
+    share = min(scale, scale * rows // max(1, labels.count()))
+    return labels.filter(F.pmod(F.xxhash64("label_id"), F.lit(scale)) < share)
+
+
 def fit(labelled: DataFrame) -> Evidence:
     """Ratios from all rows of ``labelled`` (``text``, ``label`` 0 or 1); the model has a fixed number of bins."""
     counts = labelled.mapInPandas(_count, "label BIGINT, bin BIGINT, times BIGINT")
@@ -150,9 +160,11 @@ def score(
     path: Column | None = None,
     label_col: str = "quality",
     keep: float = 0.5,
+    fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
     """One row per row of docs: the id as ``id``, ``host``, ``path``, ``evidence``, ``host_prior``, ``path_prior``, ``posterior`` (0 to 1)
-    and ``kept`` (posterior at least ``keep``)."""
+    and ``kept`` (posterior at least ``keep``). The classifier is fitted on ``fit_rows`` labelled documents
+    or so; everything else covers all documents and labels."""
     work = Workspace(docs.sparkSession, "quality")
     host = F.col("source") if host is None else host
     path = F.col("lang") if path is None else path
@@ -160,7 +172,9 @@ def score(
     known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("label"))
     known = known.filter("label IN (0, 1)").groupBy("label_id").agg(F.min("label").alias("label"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), host.cast("string").alias("host"), path.cast("string").alias("path"))
-    labelled = rows.select("id", "text").join(known, F.col("id") == F.col("label_id"))
+    known = work.write(known)
+    chosen = F.broadcast(bounded(known, fit_rows))
+    labelled = rows.select("id", "text").join(chosen, F.col("id") == F.col("label_id"))
     shared = docs.sparkSession.sparkContext.broadcast(fit(labelled.select("text", "label")).ratios)
 
     @F.pandas_udf("double")
