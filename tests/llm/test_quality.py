@@ -66,6 +66,12 @@ def test_priors_against_brute_force(spark):
         assert row["posterior"] == pytest.approx(1 / (1 + math.exp(-row["evidence"]) * (1 - prior) / prior), abs=1e-9)
 
 
+def test_fit_is_bounded(spark):
+    labels = spark.range(5000).select(F.col("id").alias("label_id"), F.lit(1).alias("label"))
+    assert 400 < quality.bounded(labels, 500).count() < 600
+    assert quality.bounded(labels, 10_000).count() == 5000
+
+
 def test_sparse_sites_shrink(spark):
     """Sites of one document stay near the whole, sites of many go their own way."""
     rows = [(i, "fine words here", f"big{i % 2}", "p") for i in range(400)] + [(1000, "fine words here", "small", "p")]
