@@ -63,9 +63,23 @@ def _numbered(name: Column) -> Column:
 
 
 def keep_times(html: Column) -> Column:
-    """``<time>x</time>`` becomes the text `` (Date: x) ``; empty ones stay as they are."""
-    marked = rf"{_NODE} (Date: $1) {_NODE}"
-    return F.regexp_replace(html, r"(?is)<time\b[^>]*>\s*([^<\s](?:[^<]*[^<\s])?)\s*</time\s*>", marked)
+    """``<time>x</time>`` becomes the text `` (Date: x) ``, markup inside it dropped and its pieces joined;
+    ones without a text stay as they are."""
+
+    def mark(piece: Column, whole: Column) -> Column:
+        inner = F.regexp_replace(whole, r"(?is)^<time\b[^>]*>|</time\s*>$", "")
+        inner = F.replace(F.regexp_replace(inner, f"<[^>]*>|{_NODE}", _JOIN), F.lit("&nbsp;"), F.lit(" "))
+        edge = f"[{WHITESPACE_CLASS}{_JOIN}]+"
+        date = F.regexp_replace(inner, f"^{edge}|{edge}$", "")
+        rest = F.substr(piece, F.length(whole) + 1)
+        marked = F.concat(F.lit(f"{_NODE} (Date: "), date, F.lit(f") {_NODE}"), rest)
+        return F.when((whole != "") & (date != ""), marked).otherwise(piece)
+
+    def with_whole(piece: Column) -> Column:
+        return bind(F.regexp_extract(piece, r"(?is)^<time\b[^>]*>.*?</time\s*>", 0), lambda whole: mark(piece, whole))
+
+    pieces = F.split(html, r"(?i)(?=<time\b)")
+    return F.when(html.rlike(r"(?i)<time\b"), F.array_join(F.transform(pieces, with_whole), "")).otherwise(html)
 
 
 def _link(piece: Column, page_url: Column) -> Column:

@@ -116,3 +116,14 @@ def test_collection_with_fallback(spark):
     assert [r.title for r in found] == [f"Report number {i}" for i in range(12)] + ["Report of DHS"]
     assert {r.api_source for r in found} == {"official_scrape"}
     assert found[-1].seendate == "20260526"
+
+
+def test_times_with_markup_inside(spark):
+    page = (
+        '<p>a</p><time class="x"><span>May</span> <b>27</b>, 2026</time><a href="/b"> Two words </a>'
+        "<TIME>&nbsp;<i> </i></TIME><time>June\n1, 2026</time >tail<time>open"
+    )
+    lines = text_of(spark, page).split("\n")
+    assert lines[:2] == ["a", "(Date: May27, 2026)"] and lines[2].startswith("[Two words](")
+    assert "(Date: June" in lines and "tail" in lines and "open" in lines
+    assert sum(line.startswith("(Date:") for line in lines) == 2
