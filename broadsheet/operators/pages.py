@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,12 +75,16 @@ def page_lines(contents: DataFrame, settings: Settings) -> DataFrame:
     return contents.select("page_id", F.posexplode(kept_lines(F.col("content"), settings)).alias("line_no", "line"))
 
 
-def harvest(contents: DataFrame, settings: Settings) -> DataFrame:
-    """One row per link line of a reading text with a title of two words or more.
+# Reading texts (page_id, content) to items: page_id, pos, title, url, date, reasoning.
+Harvester = Callable[[DataFrame], DataFrame]
+
+
+def link_lines(contents: DataFrame, settings: Settings) -> DataFrame:
+    """The harvester by rules: one item per link line of a reading text.
 
     The date is the first one on the same line, else on the next line unless that is a link line
-    itself, else empty: no date is guessed. Rows outside the window are left out. Everything
-    happens within the row of the page, so pages spread freely over tasks.
+    itself, else empty: no date is guessed. Everything happens within the row of the page, so
+    pages spread freely over tasks.
     """
     text = F.col("content")
     if settings.max_page_chars is not None:
@@ -96,13 +102,22 @@ def harvest(contents: DataFrame, settings: Settings) -> DataFrame:
     # The target of the link is no text; a date in it is found later, through the url.
     own = F.regexp_extract(F.regexp_replace("line", _LINK, "$1"), DATE_IN_TEXT, 0)
     following = F.when(~F.col("after").rlike(_LINK), F.regexp_extract("after", DATE_IN_TEXT, 0))
-    found = rows.filter(F.col("line").rlike(_LINK)).select(
+    return rows.filter(F.col("line").rlike(_LINK)).select(
         "page_id",
         "pos",
         strip(F.regexp_extract("line", _LINK, 1)).alias("title"),
         F.regexp_extract("line", _LINK, 2).alias("url"),
         F.when(own != "", own).otherwise(F.coalesce(following, F.lit(""))).alias("date"),
+        F.lit("").alias("reasoning"),
     )
+
+
+def harvest(contents: DataFrame, settings: Settings, harvester: Harvester | None = None) -> DataFrame:
+    """Items of reading texts with a title of two words or more and a date inside the window.
+
+    A harvester other than the rules (a model in ``mapInPandas``, say) may give its reasoning.
+    """
+    found = link_lines(contents, settings) if harvester is None else harvester(contents)
     published = parse_date(F.col("date"), F.col("url"), settings.as_of)
     return found.filter(has_two_words(F.col("title"))).filter(
         F.coalesce(published >= wall_clock(settings.cutoff), F.lit(False))
@@ -114,6 +129,7 @@ def collect_pages(
     settings: Settings,
     api_source: str = "official_scrape",
     alternatives: DataFrame | None = None,
+    harvester: Harvester | None = None,
 ) -> DataFrame:
     """Articles of index pages (page_id, url, html), each canonical url once.
 
@@ -126,13 +142,13 @@ def collect_pages(
     if alternatives is not None:
         other = alternatives.withColumn("content", reading_text(F.col("content"), settings))
         contents = fallback_content(contents, other.filter(F.col("content") != ""), settings.min_page_chars)
-    found = harvest(contents, settings)
+    found = harvest(contents, settings, harvester)
     items = found.select(
         item_order(SOURCES.index(api_source), F.col("page_id"), F.col("pos")).alias("ord"),
         "title",
         "url",
         F.col("date").alias("seendate"),
-        F.lit("").alias("reasoning"),
+        "reasoning",
         F.lit(api_source).alias("api_source"),
     )
     return dedup_first(normalize(items, settings))

@@ -23,13 +23,15 @@ The walk runs as rounds over tables, exact and without comparing all pairs of a
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadsheet.functions.text import bind, title_words
-from broadsheet.operators.rank import date_number, top
+from broadsheet.operators.lookup import retain
+from broadsheet.operators.rank import date_number, number_top, top
 from broadsheet.storage import Workspace
 
 PIVOTS = 8
@@ -191,9 +193,19 @@ def kept_sets(sets: DataFrame, pivots: int = PIVOTS) -> DataFrame:
     return reduce(DataFrame.unionByName, kept_parts)
 
 
-def triage(df: DataFrame, cap: int | None = None, pivots: int = PIVOTS) -> DataFrame:
+# A numbered list (the articles with ``pos`` from 0) to the positions that stay (``index``).
+Reviewer = Callable[[DataFrame], DataFrame]
+
+
+def triage(df: DataFrame, cap: int | None = None, pivots: int = PIVOTS, reviewer: Reviewer | None = None) -> DataFrame:
     """Articles without mirrors of more authoritative ones. With a cap only the first ``cap``
-    articles of the ranking are looked at and the others are lost, as in an interactive review."""
+    articles of the ranking are looked at and the others are lost, as in an interactive review.
+    A reviewer takes the place of the rules: positions listed twice count once here, and ones
+    beyond the list not at all."""
+    if reviewer is not None:
+        numbered = number_top(df, cap).withColumn("pos", F.col("idx") - 1)
+        chosen = reviewer(numbered.drop("idx")).select("index").distinct()
+        return retain(numbered, chosen).select(*df.columns)
     items = top(df, cap)
     worded = items.select(authority_order().alias("rank"), title_words(F.col("title")).alias("words"))
     sets = worded.filter(F.size("words") > 0).groupBy("words").agg(F.min("rank").alias("rank"))

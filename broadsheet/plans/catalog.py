@@ -691,7 +691,7 @@ def page_time_tags(spark, sf_dir):
 def page_harvest(spark, sf_dir):
     contents = pages.page_contents(_dated_pages(spark, sf_dir))
     contents = contents.withColumn("content", pages.reading_text(F.col("content"), PAGE_SETTINGS))
-    return pages.harvest(contents, PAGE_SETTINGS)
+    return pages.harvest(contents, PAGE_SETTINGS).drop("reasoning")
 
 
 @query

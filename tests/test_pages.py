@@ -127,3 +127,15 @@ def test_times_with_markup_inside(spark):
     assert lines[:2] == ["a", "(Date: May27, 2026)"] and lines[2].startswith("[Two words](")
     assert "(Date: June" in lines and "tail" in lines and "open" in lines
     assert sum(line.startswith("(Date:") for line in lines) == 2
+
+
+def test_harvester_in_place_of_the_rules(spark):
+    def harvester(contents):
+        return contents.select(
+            "page_id", F.lit(0).alias("pos"), F.lit("Two words").alias("title"), F.lit("https://state.gov/x").alias("url"),
+            F.lit("May 27, 2026").alias("date"), F.lit("said so").alias("reasoning"),
+        )
+
+    table = spark.createDataFrame([(1, "https://state.gov/", PAGE)], "page_id BIGINT, url STRING, html STRING")
+    found = pages.collect_pages(table, SETTINGS, harvester=harvester).collect()
+    assert [(r.title, r.seendate, r.reasoning) for r in found] == [("Two words", "20260527", "said so")]

@@ -90,3 +90,16 @@ def test_cap_looks_at_the_best_only(spark):
 
 def test_empty(spark):
     assert triage(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_reviewer_in_place_of_the_rules(spark):
+    rows = [(i, f"title number{i}", "x.com", i % 2, "20240101") for i in range(6)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    seen = []
+
+    def reviewer(numbered):
+        seen.append([r.ord for r in numbered.orderBy("pos").collect()])
+        return spark.createDataFrame([(0,), (0,), (3,), (99,)], "index INT")
+
+    assert sorted(r.ord for r in triage(df, reviewer=reviewer).collect()) == [0, 1]
+    assert seen == [[0, 2, 4, 1, 3, 5]]
