@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +16,6 @@ def split_words(text: bytes | None) -> list[bytes]:
     return text.split() if text else []
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z in lower case and nothing else touched."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def digest(text: Column) -> Column:
     """SHA-256 of the UTF-8 text in lower-case hex; null counts as empty."""
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
@@ -44,13 +37,6 @@ def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
-def per_batch(batches: Iterable[pa.RecordBatch], make) -> Iterator[pa.RecordBatch]:
-    """Map record batches one by one; batches without rows are passed over."""
-    for batch in batches:
-        if batch.num_rows:
-            yield make(batch)
-
-
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that clashes with none of df's, upper and lower case alike."""
     taken = {name.lower() for name in df.columns}
