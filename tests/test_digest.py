@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from broadsheet.operators import rank, relevance, sinks, validate
-from broadsheet.operators.dedup import dedup_greedy
 from broadsheet.operators.filters import search_near
 from broadsheet.operators.normalize import normalize
 from broadsheet.plans import digest
