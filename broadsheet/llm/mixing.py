@@ -28,7 +28,7 @@ from broadsheet.llm.rows import number_sorted
 from broadsheet.storage import Workspace
 
 # Rows of one source whose word offsets are summed in one task.
-CHUNK_ROWS = 50_000
+CHUNK_ROWS = 5_000
 SHARDS_PER_TASK = 64
 
 
