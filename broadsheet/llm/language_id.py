@@ -113,15 +113,18 @@ def _count_grams(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def sample_by_language(training: DataFrame, per_language: int) -> tuple[DataFrame, list[str]]:
     """About ``per_language`` different texts of each language, chosen by the hash of the text.
 
-    The share of hashes that is taken follows from the row counts, so no task ever sees more than
-    a bounded number of texts; copies of one text fall together before the shuffle.
+    The share of hashes that is taken follows from the number of different ones, so no task ever
+    sees more than a bounded number of texts, and a language with fewer texts is taken whole,
+    however many copies it holds; copies of one text fall together before the shuffle.
     """
-    sizes = {row["lang"]: row["rows"] for row in training.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).collect()}
+    hashed = training.withColumn("hash", F.xxhash64("text"))
+    different = hashed.select("lang", "hash").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
+    sizes = {row["lang"]: row["texts"] for row in different.collect()}
     scale = 1 << 20
     share = F.lit(0)
-    for language, rows in sizes.items():
-        share = F.when(F.col("lang") == language, min(scale, -(-scale * per_language // rows))).otherwise(share)
-    chosen = training.withColumn("hash", F.xxhash64("text")).filter(F.pmod("hash", F.lit(scale)) < share)
+    for language, texts in sizes.items():
+        share = F.when(F.col("lang") == language, min(scale, -(-scale * per_language // texts))).otherwise(share)
+    chosen = hashed.filter(F.pmod("hash", F.lit(scale)) < share)
     return chosen.groupBy("lang", "hash").agg(F.first("text").alias("text")), sorted(sizes)
 
 

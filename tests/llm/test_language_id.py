@@ -68,3 +68,13 @@ def test_sample_is_bounded(spark):
     rows = spark.range(4000).selectExpr("concat('text number ', id) AS text", "'en' AS lang")
     sample, languages = language_id.sample_by_language(rows, 500)
     assert languages == ["en"] and 350 < sample.count() < 650
+
+
+def test_copies_do_not_thin_the_sample(spark):
+    """A language that is mostly copies of one text, and one that is nothing else, are taken whole."""
+    rows = spark.range(30_000).selectExpr("if(id < 500, concat('text number ', id), 'the same text') AS text", "'en' AS lang")
+    copies = spark.range(20_000).selectExpr("'ein Text' AS text", "'de' AS lang")
+    sample, languages = language_id.sample_by_language(rows.union(copies), 600)
+    found = [tuple(row) for row in sample.select("lang", "text").collect()]
+    assert languages == ["de", "en"]
+    assert sorted(found) == sorted([("de", "ein Text"), ("en", "the same text"), *(("en", f"text number {i}") for i in range(500))])
