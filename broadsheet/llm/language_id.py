@@ -215,15 +215,18 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def keep_identified(df: DataFrame, model: LanguageModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows whose language is told with a score of ``least`` or more, all columns as they are."""
+def keep_identified(df: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The rows whose language is told, all columns as they are; only what ``identify`` calls ``und`` goes.
+
+    No score is asked for: that of a text without evidence is 1 / number of languages, so any bound
+    would make its fate depend on how many were learned.
+    """
     shared = share(df, model)
 
     @F.pandas_udf("boolean")
     def identified(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = LanguageModel(*shared.value)
         for texts in batches:
-            found = (own.predict(text) for text in texts)
-            yield pd.Series([lang != UNDETERMINED and score >= least for lang, score in found], dtype=bool)
+            yield pd.Series([own.predict(text)[0] != UNDETERMINED for text in texts], dtype=bool)
 
     return df.filter(identified(F.col(text_col)))

@@ -15,7 +15,7 @@ from broadsheet.storage import Workspace
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; texts without letters and undecided ones go."""
+    """Documents whose language is told; texts without letters go, and all if no document names a language."""
     model = language_id.learn(docs.filter(~language_id.held_out(F.col("doc_id"))))
     return language_id.keep_identified(docs, model)
 

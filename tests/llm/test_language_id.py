@@ -78,3 +78,15 @@ def test_copies_do_not_thin_the_sample(spark):
     found = [tuple(row) for row in sample.select("lang", "text").collect()]
     assert languages == ["de", "en"]
     assert sorted(found) == sorted([("de", "ein Text"), ("en", "the same text"), *(("en", f"text number {i}") for i in range(500))])
+
+
+@pytest.mark.parametrize("languages", [1, 2, 3, 5])
+def test_clean_documents_stay_however_many_languages(spark, languages):
+    """A script that no language has, and a short text that all of them share."""
+    names = ["de", "en", "fr", "nl", "sv"][:languages]
+    rows = [(f"in {name} {name}", name) for name in names]
+    model = language_id.learn(spark.createDataFrame(rows, "text STRING, lang STRING"))
+    assert model.languages == names
+    texts = ["漢字 漢字", "in", "In in", "de", "123", "", None]
+    docs = spark.createDataFrame([(text,) for text in texts], "text STRING")
+    assert [row["text"] for row in language_id.keep_identified(docs, model).collect()] == texts[:4]
