@@ -757,14 +757,25 @@ def relevance_model_quality(spark, sf_dir):
 # --- streaming -------------------------------------------------------------------------------
 
 
+# Into so many triggers the landed files are dealt, however many they are.
+TRIGGERS = 4
+
+
+def _landed_files(spark: SparkSession, sf_dir: str, path: str) -> int:
+    """Documents as files for a stream, as many as the table has partitions; the number of files for each trigger."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    # By id, since partitions of the table may be empty, which would leave no file.
+    docs.repartitionByRange(max(TRIGGERS, docs.rdd.getNumPartitions()), "doc_id").write.parquet(path)
+    return -(-len(spark.read.parquet(path).inputFiles()) // TRIGGERS)
+
+
 @query
 def stream_digest(spark, sf_dir):
-    """The feed landed by a stream of four files and triggers, then deduplicated from the table it wrote."""
+    """The feed landed by a stream of several files and triggers, then deduplicated from the table it wrote."""
     folder = Workspace(spark, "stream").path
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    docs.repartitionByRange(4, "doc_id").write.parquet(f"{folder}/documents")
+    per_trigger = _landed_files(spark, sf_dir, f"{folder}/documents")
     arrived = dates.wall_clock(FEED_SETTINGS.as_of)
-    raw = landed_stream(spark, f"{folder}/documents", "*.parquet").drop("day").withColumn("arrived", arrived)
+    raw = landed_stream(spark, f"{folder}/documents", "*.parquet", per_trigger).drop("day").withColumn("arrived", arrived)
     landing_stream.land_articles(raw, FEED_SETTINGS, f"{folder}/articles", f"{folder}/progress").awaitTermination()
     window = landing_stream.landed_window(spark, f"{folder}/articles", FEED_SETTINGS)
     return dedup.dedup_greedy(window).select("ord", "title", "url", "seendate", "tier")

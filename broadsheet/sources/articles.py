@@ -46,9 +46,9 @@ def landed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_items(spark.read.schema(DOCUMENT).parquet(f"{sf_dir}/documents.parquet"))
 
 
-def landed_stream(spark: SparkSession, directory: str, pattern: str = "documents.parquet") -> DataFrame:
-    """The same items as a stream over the files of a directory."""
-    files = spark.readStream.schema(DOCUMENT).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", 1)
+def landed_stream(spark: SparkSession, directory: str, pattern: str = "documents.parquet", per_trigger: int = 1) -> DataFrame:
+    """The same items as a stream over the files of a directory, ``per_trigger`` files at a time."""
+    files = spark.readStream.schema(DOCUMENT).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", per_trigger)
     return as_items(files.parquet(directory))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from broadsheet.operators import rank, relevance, sinks, validate
 from broadsheet.operators.filters import search_near
 from broadsheet.operators.normalize import normalize
-from broadsheet.plans import digest
+from broadsheet.plans import catalog, digest
 from broadsheet.settings import Settings
 from broadsheet.sources.articles import FEED_SETTINGS, landed_articles, landed_stream
 from broadsheet.streaming import landing_stream
@@ -196,6 +196,25 @@ def test_stream_in_pieces_equals_batch(spark, tmp_path):
     }
 
 
+def test_stream_files_follow_the_table(spark, tmp_path):
+    """As many files as the table has partitions, in a fixed number of triggers."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs.repartition(24).write.parquet(str(tmp_path / "documents.parquet"))
+    own = spark.read.parquet(str(tmp_path / "documents.parquet")).rdd.getNumPartitions()
+    files = str(tmp_path / "landed")
+    per_trigger = catalog._landed_files(spark, str(tmp_path), files)
+    assert len(spark.read.parquet(files).inputFiles()) == own > 4 and per_trigger == -(-own // 4) > 1
+    raw = landed_stream(spark, files, "*.parquet", per_trigger).drop("day")
+    query = landing_stream.land_articles(raw, FEED_SETTINGS, str(tmp_path / "articles"), str(tmp_path / "progress"))
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == -(-own // per_trigger) > 1
+    window = landing_stream.landed_window(spark, str(tmp_path / "articles"), FEED_SETTINGS)
+    assert {r.ord for r in window.collect()} == {r.ord for r in normalize(landed_articles(spark, SMALL), FEED_SETTINGS).collect()}
+    # One file of one row group still makes several files.
+    assert catalog._landed_files(spark, SMALL, str(tmp_path / "small")) == 1
+    assert len(spark.read.parquet(str(tmp_path / "small")).inputFiles()) == 4
+
+
 def test_stream_across_the_turn_of_the_year(spark, tmp_path):
     """Dates without a year are read as of each item's arrival."""
     rows = [(1, "2025-12-30 08:00:00"), (2, "2026-01-16 08:00:00")]
