@@ -1,8 +1,9 @@
-"""Removal of long repeated byte strings, by bucket-pointer refinement.
+"""Removal of long repeated byte strings, by anchors and content hashes.
 
 Every place where a string of ``LENGTH`` bytes starts that also starts elsewhere has to be found.
-Suffixes are put into buckets by their first q bytes, and buckets are refined by the identifiers
-of later offsets until their members agree in the whole length or stand alone:
+Bucket-pointer refinement would bucket all suffixes by their first q bytes and refine the buckets,
+in rounds, by the bucket identifiers of later offsets. Only its doubling of identifiers is taken
+over, inside one text; the rounds are replaced by one anchor per window and hashes of raw bytes:
 
 * identifiers of q-grams are made from those of their halves, identifier(2k, p) from
   identifier(k, p) and identifier(k, p + k), each step reusing the last one for all offsets;
