@@ -10,6 +10,7 @@ from broadsheet.llm import (
     exact_dedup,
     language_id,
     line_dedup,
+    merkle,
     mixing,
     quality,
     secrets,
@@ -88,6 +89,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_report(captures, pages.schema["page_id"].dataType.simpleString())
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proof of every document in the manifest, checked after the texts of every other one lost their line ends."""
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    changed = merkle.leaf_digest([*map(F.col, fields[:-1]), F.translate("text", "\n", "")])
+    found = merkle.manifest(docs, fields, "source", "doc_id", {"changed": F.when(tampered, changed)})
+    return merkle.verify(found, F.coalesce("changed", "leaf")).select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -99,4 +112,5 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
+    "op13_merkle": op13_merkle,
 }
