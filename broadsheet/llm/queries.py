@@ -12,12 +12,14 @@ from broadsheet.llm import (
     line_dedup,
     merkle,
     mixing,
+    pieces,
     quality,
     secrets,
     simhash,
     suffix_dedup,
     warc,
 )
+from broadsheet.llm.common import digest
 from broadsheet.storage import Workspace
 
 
@@ -89,6 +91,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_report(captures, pages.schema["page_id"].dataType.simpleString())
 
 
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in pieces of a public vocabulary, and read back from them."""
+    import public_tokenizers
+
+    model = pieces.load_model(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    found = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    spelled = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    covered = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda a, b: a + b)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        digest(spelled).alias("ids_sha256"),
+        digest(F.col("text")).alias("decoded_sha256"),
+        covered.alias("n_span_bytes"),
+    )
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The proof of every document in the manifest, checked after the texts of every other one lost their line ends."""
     docs = table(spark, sf_dir, "documents")
@@ -112,5 +131,6 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
+    "op12_pieces": op12_pieces,
     "op13_merkle": op13_merkle,
 }
