@@ -13,6 +13,7 @@ from broadsheet.llm import (
     merkle,
     mixing,
     pieces,
+    prefix_trie,
     quality,
     secrets,
     simhash,
@@ -91,6 +92,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_report(captures, pages.schema["page_id"].dataType.simpleString())
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct prefix of the conversations, each rebuilt with the head of the first of its five."""
+    conv = F.col("conv")
+    head = F.crc32(conv.cast("string").cast("binary")) % 9
+    return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"), donor=conv - conv % 5, head=head, longest_head=8)
+
+
 def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in pieces of a public vocabulary, and read back from them."""
     import public_tokenizers
@@ -131,6 +139,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_pieces": op12_pieces,
     "op13_merkle": op13_merkle,
 }
