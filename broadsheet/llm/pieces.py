@@ -1,16 +1,18 @@
 """Encoding texts into the pieces of a SentencePiece BPE model, and decoding them, with source spans.
 
 A text is normalised by the model's compiled character map: at each byte the longest prefix that the
-map knows is replaced, any other character stays, and for each normalised character the bytes it came
-from are recorded. The normalised text is cut where no piece can cross, before a run of spaces, and
-each segment is merged pair by pair, best score first, leftmost first. Every piece is projected to the
-bytes of the original text by the recorded alignment; characters without a piece become byte pieces,
-of which the last one has the character's span and the others an empty one.
+map knows is replaced, any other character stays, and for each normalised character the byte it came
+from is recorded. The normalised text is cut where no piece can cross, before a run of spaces. The
+segments of many texts are merged together, one pair of each at a time, best score first, leftmost
+first; segments of more than 64 characters are merged by a heap of pairs. Every piece is projected to
+the bytes of the original text by the recorded alignment; characters without a piece become byte
+pieces, of which the last one has the character's span and the others an empty one.
 
 Defined cases: null counts as empty and has no pieces but the end id; whole texts of any length are
-read, in time of n log n at worst; equal texts give equal pieces; an empty table has no rows; columns
-not named are not read, whatever their names. Models other than BPE and models with user-defined or
-unused pieces are refused.
+read, in windows of about a million characters where the model has no character map, in time of
+n log n at worst; equal texts give equal pieces; an empty table has no rows; columns not named are not
+read, whatever their names. Models other than BPE, and models with user-defined or unused pieces, are
+refused.
 """
 
 from __future__ import annotations
@@ -36,12 +38,15 @@ REPLACEMENT = "�"
 
 # A model file is a vocabulary: it does not grow with the data. Larger ones are refused, not broadcast.
 MAX_MODEL_BYTES = 64 << 20
-# Short segments recur; so many of them are remembered in each Python worker. Results do not depend on it.
-CACHE_SEGMENTS, CACHE_LENGTH = 200_000, 40
-BATCH_BYTES = 8 << 20
-# Up to this length searching all pairs is faster than a heap; both give the same parts.
-SHORT = 40
-NO_PAIR = 1 << 60
+# Up to this length segments are merged together, as arrays; both ways give the same parts.
+SHORT = 64
+NO_PAIR = 1 << 30
+# A symbol is a piece's id, or, for a character without piece, its code point after the last id.
+SYMBOL_BITS = 22
+# Characters that are worked on at once.
+WINDOW = 1 << 20
+# Rows that are decoded at once.
+DECODE_ROWS = 256
 
 
 def message_fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -96,39 +101,65 @@ class CharacterMap:
         return found[0], self.texts[start : self.texts.index(0, start)].decode()
 
 
+def compile_model(data: bytes) -> dict:
+    """What tasks need of a model file, in built-in types and arrays."""
+    pieces, kinds, scores = [], [], []
+    trainer, normaliser = {}, {}
+    for field, value in message_fields(data):
+        if field == 1:
+            piece = dict(message_fields(value))
+            pieces.append(piece.get(1, b"").decode())
+            scores.append(struct.unpack("<f", piece.get(2, bytes(4)))[0])
+            kinds.append(piece.get(3, NORMAL))
+        elif field == 2:
+            trainer = dict(message_fields(value))
+        elif field == 3:
+            normaliser = dict(message_fields(value))
+    if trainer.get(3, 1) != 2 or trainer.get(24, 0) or {USER_DEFINED, UNUSED} & set(kinds):
+        raise ValueError("only BPE models with normal, control, unknown and byte pieces")
+    # Equal scores share a rank: among them the leftmost pair is merged first.
+    order = {score: rank for rank, score in enumerate(sorted(set(scores), reverse=True))}
+    ids = {piece: i for i, piece in enumerate(pieces) if kinds[i] == NORMAL}
+    pairs = {}
+    for piece, i in ids.items():
+        for cut in range(1, len(piece)):
+            left, right = (ids.get(part, len(pieces) + ord(part) if len(part) == 1 else None) for part in (piece[:cut], piece[cut:]))
+            if left is not None and right is not None:
+                pairs[left << SYMBOL_BITS | right] = i
+    keys = np.array(sorted(pairs), np.int64)
+    joined = np.array([pairs[key] for key in keys.tolist()], np.int64)
+    ranks = np.array([order[score] for score in scores], np.int64)
+    return {
+        "pieces": pieces,
+        "kinds": kinds,
+        "ranks": ranks,
+        "pair_keys": np.append(keys, np.iinfo(np.int64).max),
+        "pair_ids": np.append(joined, -1),
+        "pair_ranks": np.append(ranks[joined], NO_PAIR),
+        "map": normaliser.get(2, b""),
+        **{name: bool(normaliser.get(field, 1)) for name, field in (("dummy_prefix", 3), ("trim", 4), ("escape", 5))},
+    }
+
+
 class PieceModel:
-    """Pieces, scores and normaliser settings of one model file."""
-
-    def __init__(self, data: bytes):
-        self.pieces: list[str] = []
-        self.kinds: list[int] = []
-        scores = []
-        trainer, normaliser = {}, {}
-        for field, value in message_fields(data):
-            if field == 1:
-                piece = dict(message_fields(value))
-                self.pieces.append(piece.get(1, b"").decode())
-                scores.append(struct.unpack("<f", piece.get(2, bytes(4)))[0])
-                self.kinds.append(piece.get(3, NORMAL))
-            elif field == 2:
-                trainer = dict(message_fields(value))
-            elif field == 3:
-                normaliser = dict(message_fields(value))
-        if trainer.get(3, 1) != 2 or trainer.get(24, 0) or {USER_DEFINED, UNUSED} & set(self.kinds):
-            raise ValueError("only BPE models with normal, control, unknown and byte pieces")
-        self.map = CharacterMap(normaliser[2]) if normaliser.get(2) else None
-        self.dummy_prefix, self.trim, self.escape = (bool(normaliser.get(field, 1)) for field in (3, 4, 5))
-        self.ids = {piece: i for i, piece in enumerate(self.pieces) if self.kinds[i] == NORMAL}
-        # Equal scores share a rank: among them the leftmost pair is merged first.
-        order = {score: rank for rank, score in enumerate(sorted(set(scores), reverse=True))}
-        self.ranks = {piece: order[scores[i]] for piece, i in self.ids.items()}
+    """Encodes and decodes with what ``compile_model`` returns."""
+
+    def __init__(self, tables: dict):
+        self.pieces: list[str] = tables["pieces"]
+        self.kinds: list[int] = tables["kinds"]
+        self.tables = tables
+        self.map = CharacterMap(tables["map"]) if tables["map"] else None
+        self.dummy_prefix, self.trim, self.escape = (tables[name] for name in ("dummy_prefix", "trim", "escape"))
+        self.ids = {piece: i for i, (piece, kind) in enumerate(zip(self.pieces, self.kinds)) if kind == NORMAL}
         self.bytes = {int(self.pieces[i][3:5], 16): i for i, kind in enumerate(self.kinds) if kind == BYTE}
         self.unknown = self.kinds.index(UNKNOWN)
         self.end = self.pieces.index("</s>") if "</s>" in self.pieces else None
         # Where a piece holds a space after another character, segments would not be independent.
-        whole = any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.ids)
-        self.segments = re.compile("(?s:.+)" if whole else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self._cache: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
+        self.whole = any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.ids)
+        self.segments = re.compile("(?s:.+)" if self.whole else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+        self.symbols = np.arange(0x110000, dtype=np.int64) + len(self.pieces)
+        single = [(ord(piece), i) for piece, i in self.ids.items() if len(piece) == 1]
+        self.symbols[[point for point, _ in single]] = [i for _, i in single]
         self.surfaces = [self._surface(i) for i in range(len(self.pieces))]
         # A byte that starts no character is replaced, and the next one looked at.
         codecs.register_error("replace one byte", lambda error: (REPLACEMENT, error.start + 1))
@@ -140,17 +171,29 @@ class PieceModel:
             return "" if kind == CONTROL else UNKNOWN_SURFACE
         return None if kind == BYTE else self.pieces[i].replace(SPACE, " ")
 
+    def windows(self, text: str) -> Iterator[tuple[str, np.ndarray]]:
+        """The normalised text in windows that no piece crosses, each with the byte of ``text`` that each of its
+        characters starts at, and that it ends at."""
+        if self.map or self.trim or self.whole:
+            yield self.normalise(text)
+            return
+        space = SPACE if self.escape else " "
+        low = base = 0
+        while low < len(text):
+            high = min(low + WINDOW, len(text))
+            while high < len(text) and (text[high] not in (" ", SPACE) or text[high - 1] in (" ", SPACE)):
+                high += 1
+            part = text[low:high]
+            prefix = self.dummy_prefix and low == 0
+            starts = np.full(len(part) + 1 + prefix, base, np.int64)
+            np.cumsum(_byte_widths(part), out=starts[1 + prefix :])
+            starts[1 + prefix :] += base
+            yield space * prefix + part.replace(" ", space), starts
+            low, base = high, int(starts[-1])
+
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text, and for each of its characters, and for its end, the byte of ``text`` it starts at."""
         space = SPACE if self.escape else " "
-        if self.map is None and not self.trim:
-            widths = _byte_widths(text)
-            starts = np.zeros(len(text) + 1, np.int64)
-            np.cumsum(widths, out=starts[1:])
-            if not text:
-                return "", starts
-            prefix = self.dummy_prefix
-            return space * prefix + text.replace(" ", space), np.concatenate([starts[:1], starts]) if prefix else starts
         chunks: list[tuple[str, int]] = []
         data = text.encode()
         at = 0
@@ -189,29 +232,56 @@ class PieceModel:
                 end = starts[len(normal)]
         return normal, np.array([*starts[: len(normal)], end])
 
-    def _merge_short(self, segment: str) -> list[str]:
-        """The parts of a segment, by a search for the best pair each time."""
-        rank, parts = self.ranks.get, list(segment)
-        pairs = [rank(a + b, NO_PAIR) for a, b in zip(parts, parts[1:])]
-        while pairs:
-            best = min(pairs)
-            if best == NO_PAIR:
-                break
-            i = pairs.index(best)
-            joined = parts[i] = parts[i] + parts.pop(i + 1)
-            del pairs[i]
-            if i < len(pairs):
-                pairs[i] = rank(joined + parts[i + 1], NO_PAIR)
-            if i:
-                pairs[i - 1] = rank(parts[i - 1] + joined, NO_PAIR)
-        return parts
+    def _merge_together(self, symbols: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Final symbols and places of many segments (of ``sizes`` symbols each), in no order."""
+        keys, ids, ranks = (self.tables[name] for name in ("pair_keys", "pair_ids", "pair_ranks"))
+
+        def pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+            key = left << SYMBOL_BITS | right
+            slot = np.searchsorted(keys, key)
+            return np.where(keys[slot] == key, slot, len(keys) - 1)
+
+        none = len(keys) - 1
+        slots = np.append(pairs(symbols[:-1], symbols[1:]), none) if len(symbols) else np.empty(0, np.int64)
+        if len(sizes):
+            slots[np.cumsum(sizes) - 1] = none
+        done = []
+        while len(sizes):
+            # The best pair of each segment, the leftmost of equal ones.
+            starts = np.cumsum(sizes) - sizes
+            best = np.minimum.reduceat(ranks[slots] << 32 | np.arange(len(slots)), starts)
+            going = best >> 32 != NO_PAIR
+            if not going.all():
+                kept = np.repeat(going, sizes)
+                done.append((symbols[~kept], places[~kept]))
+                shift = np.cumsum(np.where(going, 0, sizes))[going]
+                symbols, places, slots, sizes = symbols[kept], places[kept], slots[kept], sizes[going]
+                best = best[going]
+                at = (best & 0xFFFFFFFF) - shift
+                if not len(sizes):
+                    break
+            else:
+                at = best & 0xFFFFFFFF
+            symbols[at] = ids[slots[at]]
+            kept = np.ones(len(symbols), bool)
+            kept[at + 1] = False
+            # The pair to the right of the merged one takes its place; both neighbours are looked up anew.
+            last = at + 1 == np.cumsum(sizes) - 1
+            symbols, places, slots, sizes = symbols[kept], places[kept], slots[kept], sizes - 1
+            at -= np.arange(len(at))
+            starts = np.cumsum(sizes) - sizes
+            slots[at[last]] = none
+            inner = at[~last]
+            slots[inner] = pairs(symbols[inner], symbols[inner + 1])
+            right = at[at > starts]
+            slots[right - 1] = pairs(symbols[right - 1], symbols[right])
+        return tuple(np.concatenate([part[i] for part in done] or [np.empty(0, np.int64)]) for i in (0, 1))
 
     def _merge_long(self, segment: str) -> list[str]:
-        """The same with a heap of pairs and links between the parts."""
-        rank, parts = self.ranks.get, list(segment)
+        """The parts of one segment, by a heap of pairs and links between the parts."""
+        ranks, ids, parts = self.tables["ranks"], self.ids, list(segment)
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-        joins = [(rank(a + b, NO_PAIR), i, i + 1, a + b) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
-        heap = [join for join in joins if join[0] != NO_PAIR]
+        heap = [(int(ranks[ids[a + b]]), i, i + 1, a + b) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ids]
         heapq.heapify(heap)
         while heap:
             _, left, right, joined = heapq.heappop(heap)
@@ -224,41 +294,93 @@ class PieceModel:
             for a, b in ((before[left], left), (left, far)):
                 if a >= 0 and b < len(parts):
                     pair = parts[a] + parts[b]
-                    if pair in self.ranks:
-                        heapq.heappush(heap, (self.ranks[pair], a, b, pair))
+                    if pair in ids:
+                        heapq.heappush(heap, (int(ranks[ids[pair]]), a, b, pair))
         return [part for part in parts if part]
 
-    def merge(self, segment: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
-        """Ids of one segment and how many of its characters each stands for."""
-        parts = self._merge_short(segment) if len(segment) <= SHORT else self._merge_long(segment)
-        ids, sizes = [], []
-        for part in parts:
-            known = self.ids.get(part)
-            if known is not None or not self.bytes:
-                ids.append(self.unknown if known is None else known)
-                sizes.append(len(part))
-            else:
-                spelled = [self.bytes[byte] for byte in part.encode()]
-                ids += spelled
-                sizes += [0] * (len(spelled) - 1) + [len(part)]
-        # Tuples of numbers are no work for the garbage collector.
-        return tuple(ids), tuple(sizes)
-
-    def encode(self, text: str) -> tuple[list[int], np.ndarray]:
-        """Ids, and the bytes of ``text`` at which each piece starts and, last, where the final one ends."""
-        normal, starts = self.normalise(text)
-        cache, ids, sizes = self._cache, [], [0]
-        for segment in self.segments.findall(normal):
-            found = cache.get(segment)
-            if found is None:
-                found = self.merge(segment)
-                if len(segment) <= CACHE_LENGTH:
-                    if len(cache) >= CACHE_SEGMENTS:
-                        cache.clear()
-                    cache[segment] = found
-            ids += found[0]
-            sizes += found[1]
-        return ids, starts[np.cumsum(sizes)]
+    def _merge_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of different segments the ids and, for each, the character of the segment it starts at, one segment after
+        another, and the number of ids of each."""
+        points = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)
+        sizes = np.array([len(segment) for segment in segments], np.int64)
+        firsts = np.cumsum(sizes) - sizes
+        short = sizes <= SHORT
+        inside = np.repeat(short, sizes)
+        symbols, places = self._merge_together(self.symbols[points[inside]], np.flatnonzero(inside), sizes[short])
+        for i in np.flatnonzero(~short).tolist():
+            parts = self._merge_long(segments[i])
+            found = [self.ids[part] if part in self.ids else len(self.pieces) + ord(part) for part in parts]
+            symbols = np.append(symbols, found)
+            places = np.append(places, firsts[i] + np.cumsum([0, *map(len, parts[:-1])]))
+        order = np.argsort(places)
+        ids, places = symbols[order], places[order]
+        foreign = ids >= len(self.pieces)
+        if self.bytes:
+            spelled = [chr(point).encode() for point in (ids[foreign] - len(self.pieces)).tolist()]
+            counts = np.ones(len(ids), np.int64)
+            counts[foreign] = [len(raw) for raw in spelled]
+            ids, places, foreign = (np.repeat(x, counts) for x in (ids, places, foreign))
+            ids[foreign] = np.array([self.bytes[byte] for byte in range(256)])[np.frombuffer(b"".join(spelled), np.uint8)]
+        else:
+            ids[foreign] = self.unknown
+        owner = np.searchsorted(firsts, places, "right") - 1
+        return ids, places - firsts[owner], np.bincount(owner, minlength=len(segments))
+
+    def _encode_window(self, texts: list[str], starts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts, the byte each piece starts at, and the number of pieces of each text."""
+        numbers: dict[str, int] = {}
+        which, per_text = [], []
+        for text in texts:
+            found = self.segments.findall(text)
+            which += [numbers.setdefault(segment, len(numbers)) for segment in found]
+            per_text.append(len(found))
+        if not which:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(texts), np.int64)
+        # Each different segment is merged once, and its pieces are copied to where it stands.
+        ids, places, counts = self._merge_segments(list(numbers))
+        which = np.array(which)
+        lengths = np.array([len(segment) for segment in numbers], np.int64)[which]
+        pieces = counts[which]
+        before = np.cumsum(pieces) - pieces
+        copy = np.repeat((np.cumsum(counts) - counts)[which] - before, pieces) + np.arange(pieces.sum())
+        at = places[copy] + np.repeat(np.cumsum(lengths) - lengths, pieces)
+        totals = np.add.reduceat(pieces, np.cumsum(per_text) - per_text)
+        return ids[copy], np.concatenate([start[:-1] for start in starts])[at], totals
+
+    def encode_all(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of many texts the ids and, for each, the byte it starts at, one after another, the number of ids of
+        each text, and its bytes."""
+        held, bounds, owners, chars = [], [], [], 0
+        parts, counts, sizes = [], [], []
+
+        def flush() -> None:
+            ids, starts, per_part = self._encode_window(held, bounds)
+            parts.append((ids, starts))
+            for owner, n in zip(owners, per_part.tolist()):
+                counts[owner] += n
+            held.clear(), bounds.clear(), owners.clear()
+
+        for number, text in enumerate(texts):
+            counts.append(0)
+            sizes.append(0)
+            for normal, starts in self.windows(text):
+                if normal:
+                    held.append(normal)
+                    bounds.append(starts)
+                    owners.append(number)
+                    chars += len(normal)
+                sizes[number] = int(starts[-1])
+                if chars >= WINDOW:
+                    flush()
+                    chars = 0
+        flush()
+        ids, starts = (np.concatenate([part[i] for part in parts]) for i in (0, 1))
+        return ids, starts, np.array(counts, np.int64), np.array(sizes, np.int64)
+
+    def encode(self, text: str) -> tuple[list[int], list[int]]:
+        """Ids of one text, and the bytes at which each piece starts and, last, where the final one ends."""
+        ids, starts, _, size = self.encode_all([text])
+        return ids.tolist(), [*starts.tolist(), int(size[0])]
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of a sequence of ids."""
@@ -290,56 +412,55 @@ def _byte_widths(text: str) -> np.ndarray:
 
 
 def load_model(spark: SparkSession, path: str):
-    """The model file, read on the driver and broadcast; only its bytes travel."""
+    """The model file, read and compiled on the driver, and broadcast: about ten times its size."""
     with open(path, "rb") as file:
         data = file.read(MAX_MODEL_BYTES + 1)
     if len(data) > MAX_MODEL_BYTES:
         raise ValueError(f"{path} is no vocabulary: more than {MAX_MODEL_BYTES} bytes")
-    PieceModel(data)
-    return spark.sparkContext.broadcast(data)
+    return spark.sparkContext.broadcast(compile_model(data))
 
 
-def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of a batch with some megabytes of values each, so that memory does not grow with the batch."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0))
-    total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+def _slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of a batch with some values each, so that memory does not grow with the batch."""
+    total = np.concatenate([[0], np.cumsum(pa.compute.fill_null(pa.compute.binary_length(column), 0), dtype=np.int64)])
     start = 0
-    while start < len(sizes):
-        end = max(start + 1, bisect_right(total, total[start] + BATCH_BYTES) - 1)
+    while start < len(column):
+        end = max(start + 1, bisect_right(total, total[start] + limit) - 1)
         yield start, end
         start = end
 
 
+def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(counts)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+
+
 def _encoder(model, add_end: bool) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = PieceModel(model.value)
         for batch in batches:
-            for low, high in _slices(batch.column(1)):
+            for low, high in _slices(batch.column(1), WINDOW):
                 part = batch.slice(low, high - low)
-                ids, starts, ends = [], [], []
-                for text in part.column(1).to_pylist():
-                    found, bounds = pieces.encode(text or "")
-                    first, last = bounds[:-1], bounds[1:]
-                    if add_end:
-                        found = [*found, pieces.end]
-                        first, last = np.append(first, bounds[-1]), np.append(last, bounds[-1])
-                    ids.append(found)
-                    starts.append(first)
-                    ends.append(last)
-                lists = [pa.array(ids, pa.list_(pa.int32())), *(pa.array(x, pa.list_(pa.int64())) for x in (starts, ends))]
-                yield pa.RecordBatch.from_arrays([part.column(0), *lists], ["id", "ids", "starts", "ends"])
+                ids, starts, counts, sizes = pieces.encode_all(text or "" for text in part.column(1).to_pylist())
+                ends = np.cumsum(counts)
+                if add_end:
+                    # The end id stands for nothing, after the last byte.
+                    ids, starts, counts = np.insert(ids, ends, pieces.end), np.insert(starts, ends, sizes), counts + 1
+                    ends = np.cumsum(counts)
+                bounds = np.insert(starts, ends, sizes)
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids, counts), _lists(bounds, counts + 1)], ["id", "ids", "bounds"])
 
     return run
 
 
 def encode(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", add_end: bool = True) -> DataFrame:
-    """One row per row of docs: ``id``, ``ids``, and ``starts``, ``ends``: the bytes of the text each piece stands for.
+    """One row per row of docs: ``id``, ``ids`` and ``bounds``: piece i stands for the bytes of the text from bounds[i] up to bounds[i + 1].
 
     ``model`` is what ``load_model`` returns. One narrow pass, no shuffle.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        _encoder(model, add_end), f"id {id_type}, ids ARRAY<INT>, starts ARRAY<BIGINT>, ends ARRAY<BIGINT>"
+        _encoder(model, add_end), f"id {id_type}, ids ARRAY<INT>, bounds ARRAY<INT>"
     )
 
 
@@ -348,12 +469,17 @@ def _decoder(model) -> Callable:
         pieces = PieceModel(model.value)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index("ids"))
-            bounds, values = column.offsets.to_pylist(), column.values.to_numpy(zero_copy_only=False)
-            texts = [
-                pieces.decode(values[low:high].tolist()) if known else None
-                for low, high, known in zip(bounds, bounds[1:], column.is_valid().to_pylist())
-            ]
-            yield batch.append_column("text", pa.array(texts, pa.string()))
+            known = column.is_valid().to_pylist()
+            # Some rows at a time, as their texts take more room than their ids.
+            for low in range(0, len(column), DECODE_ROWS):
+                part = batch.slice(low, DECODE_ROWS)
+                bounds = column.offsets[low : low + part.num_rows + 1].to_pylist()
+                values = column.values[bounds[0] : bounds[-1]].to_numpy(zero_copy_only=False)
+                texts = [
+                    pieces.decode(values[a - bounds[0] : b - bounds[0]].tolist()) if there else None
+                    for a, b, there in zip(bounds, bounds[1:], known[low:])
+                ]
+                yield part.append_column("text", pa.array(texts, pa.string()))
 
     return run
 
