@@ -1,4 +1,8 @@
-"""Joins with side tables. Join strategies follow the optimizer's size checks, not hints."""
+"""Joins with side tables. Join strategies follow the optimizer's size checks, not hints.
+
+Every look-up gives one row per input row. Where a side table repeats a key, the row that comes first
+counts: by its ``ord`` if it has one, else by value, nulls last.
+"""
 
 from __future__ import annotations
 
@@ -6,27 +10,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def lookup_tier(df: DataFrame, tiers: DataFrame, default: int = 1, column: str = "domain") -> DataFrame:
-    """Add ``tier`` from a table of (domain, tier), exact match, ``default`` for other domains."""
-    side = tiers.select(F.col("domain").alias("_domain"), F.col("tier").alias("_tier"))
-    joined = df.drop("tier").join(side, F.col(column) == F.col("_domain"), "left")
-    return joined.withColumn("tier", F.coalesce("_tier", F.lit(default)).cast("int")).drop("_domain", "_tier")
+def _one_per_key(side: DataFrame, key: str, value: str) -> DataFrame:
+    """``_key`` and ``_value``: the first value of each key. Partial aggregation keeps a repeated key small."""
+    place = F.col("ord") if "ord" in side.columns else F.lit(0)
+    named = side.select(F.col(key).alias("_key"), F.col(value).alias("_value"), place.alias("_place"))
+    order = F.struct("_place", F.col("_value").isNull().alias("_null"), F.col("_value").alias("_of"))
+    return named.groupBy("_key").agg(F.min_by(F.struct("_value"), order).alias("_first")).select("_key", "_first._value")
+
+
+def lookup_tier(df: DataFrame, tiers: DataFrame, default: int = 1, column: str = "domain", unique: bool = False) -> DataFrame:
+    """Add ``tier`` from a table of (domain, tier), exact match, ``default`` for other domains. A table known to have each
+    domain once (``unique``), such as one made of settings, need not be reduced first."""
+    side = tiers.select(F.col("domain").alias("_key"), F.col("tier").alias("_value")) if unique else _one_per_key(tiers, "domain", "tier")
+    joined = df.drop("tier").join(side, F.col(column) == F.col("_key"), "left")
+    return joined.withColumn("tier", F.coalesce("_value", F.lit(default)).cast("int")).drop("_key", "_value")
 
 
 def resolve_urls(df: DataFrame, url_map: DataFrame, column: str = "url") -> DataFrame:
     """Replace opaque links by their targets (src_url, final_url); unknown links stay."""
-    side = url_map.select(F.col("src_url").alias("_source"), F.col("final_url").alias("_target"))
-    joined = df.join(side, F.col(column) == F.col("_source"), "left")
-    return joined.withColumn(column, F.coalesce("_target", column)).drop("_source", "_target")
+    side = _one_per_key(url_map, "src_url", "final_url")
+    joined = df.join(side, F.col(column) == F.col("_key"), "left")
+    return joined.withColumn(column, F.coalesce("_value", column)).drop("_key", "_value")
 
 
 def fallback_content(pages: DataFrame, alternatives: DataFrame, min_chars: int = 300) -> DataFrame:
     """Replace ``content`` that is missing or shorter than ``min_chars`` by an alternative
     rendering (url, content), where there is one. Long contents take no part in the join."""
     short = F.coalesce(F.length("content"), F.lit(0)) < min_chars
-    side = alternatives.select(F.col("url").alias("_url"), F.col("content").alias("_other"))
-    repaired = pages.filter(short).join(side, F.col("url") == F.col("_url"), "left")
-    repaired = repaired.withColumn("content", F.coalesce("_other", "content")).drop("_url", "_other")
+    side = _one_per_key(alternatives, "url", "content")
+    repaired = pages.filter(short).join(side, F.col("url") == F.col("_key"), "left")
+    repaired = repaired.withColumn("content", F.coalesce("_value", "content")).drop("_key", "_value")
     return pages.filter(~short).unionByName(repaired)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from broadsheet import fixed_values as fixed
 from broadsheet.functions import dates, text, urls
-from broadsheet.operators import dedup, filters, lookup, metrics, pages, rank, relevance, sinks
+from broadsheet.operators import dedup, filters, history, lookup, metrics, pages, rank, relevance, sinks
 from broadsheet.operators.normalize import date_gate, normalize, special_source, tier_of
 from broadsheet.operators.triage import triage
 from broadsheet.operators.validate import judge_dates
@@ -19,7 +20,7 @@ from broadsheet.settings import REPORT_CAPS
 from broadsheet.sources import landing, reference
 from broadsheet.sources.articles import FEED_SETTINGS, landed_articles, landed_stream
 from broadsheet.storage import Workspace
-from broadsheet.streaming import landing_stream
+from broadsheet.streaming import dedup_stream, landing_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -312,7 +313,33 @@ def search_near_three(spark, sf_dir):
 @query
 def tier_lookup(spark, sf_dir):
     tiers = reference.tier_table(spark, FEED_SETTINGS.tiers)
-    return lookup.lookup_tier(_described(spark, sf_dir).select("ord", "domain"), tiers, 5)
+    return lookup.lookup_tier(_described(spark, sf_dir).select("ord", "domain"), tiers, 5, unique=True)
+
+
+@query
+def tier_repeats(spark, sf_dir):
+    """A tier table that has most domains many times: the first row of each counts."""
+    feed = _described(spark, sf_dir).select("ord", "domain")
+    tiers = feed.filter(F.col("domain") != "blog.example.com").select("domain", (F.col("ord") % 5).alias("tier"), "ord")
+    return lookup.lookup_tier(feed, tiers, 9)
+
+
+@query
+def url_repeats(spark, sf_dir):
+    """A map with several targets for each opaque link."""
+    feed = landed_articles(spark, sf_dir).select("ord", "url")
+    opaque = F.concat(F.lit("https://news.google.com/rss/articles/"), (F.col("ord") % 70).cast("string"))
+    url_map = feed.filter(F.col("ord") % 7 != 0).select(opaque.alias("src_url"), F.col("url").alias("final_url"), "ord")
+    return lookup.resolve_urls(feed.withColumn("url", opaque), url_map)
+
+
+@query
+def content_repeats(spark, sf_dir):
+    """Several alternative renderings of each page, without an order of their own."""
+    docs = _table(spark, sf_dir, "documents")
+    pages_ = docs.select("doc_id", (F.col("doc_id") % 60).cast("string").alias("url"), F.col("text").alias("content"))
+    other = docs.filter(F.col("doc_id") % 3 != 0).select((F.col("doc_id") % 50).cast("string").alias("url"), F.col("text").alias("content"))
+    return lookup.fallback_content(pages_, other, 400).select("doc_id", F.md5("content").alias("content"))
 
 
 def _url_map(feed: DataFrame) -> DataFrame:
@@ -360,6 +387,20 @@ def dedup_greedy(spark, sf_dir):
     return dedup.dedup_greedy(landed_articles(spark, sf_dir)).select("ord", "url", "title")
 
 
+@query
+def dedup_daily(spark, sf_dir):
+    """The feed as two daily runs; the second one knows the first only by the keys it kept."""
+    work = Workspace(spark, "daily")
+    feed = work.write(landed_articles(spark, sf_dir).select("ord", "url", "title"))
+    middle = F.lit(feed.agg(F.expr("max(ord) div 2")).first()[0])
+    name = f"kept_keys_{uuid.uuid4().hex}"
+    keys = history.KeptKeys(spark, name, f"{work.path}/keys", buckets=8)
+    first = history.run_daily(feed.filter(F.col("ord") <= middle), keys, "2024-01-30")
+    second = history.run_daily(feed.filter(F.col("ord") > middle), keys, "2024-01-31")
+    spark.sql(f"DROP TABLE {name}")
+    return first.withColumn("run", F.lit("2024-01-30")).unionByName(second.withColumn("run", F.lit("2024-01-31")))
+
+
 @query
 def dedup_labelled(spark, sf_dir):
     return dedup.dedup_first(_labelled(spark, sf_dir)).select("ord", "api_source", "url")
@@ -779,3 +820,26 @@ def stream_digest(spark, sf_dir):
     landing_stream.land_articles(raw, FEED_SETTINGS, f"{folder}/articles", f"{folder}/progress").awaitTermination()
     window = landing_stream.landed_window(spark, f"{folder}/articles", FEED_SETTINGS)
     return dedup.dedup_greedy(window).select("ord", "title", "url", "seendate", "tier")
+
+
+def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in arrival order over forty days, in ``TRIGGERS`` parts; some articles are told of fifteen days late."""
+    feed = landed_articles(spark, sf_dir).select("ord", "title", "url")
+    span = F.lit(feed.agg(F.coalesce(F.max("ord"), F.lit(0)) + 1).first()[0])
+    seconds = F.floor(F.col("ord") * (40 * 86400) / span) - F.when(F.col("ord") % 16 == 5, 15 * 86400).otherwise(0)
+    part = F.floor(F.col("ord") * TRIGGERS / span).cast("int")
+    return feed.withColumns({"published": F.timestamp_seconds(seconds + 1704067200), "part": part})
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """The feed arriving in parts, each read by a stream that stops and goes on from its checkpoint."""
+    work = Workspace(spark, "stream")
+    arrivals = work.write(_arrivals(spark, sf_dir))
+    landed = f"{work.path}/landed"
+    for part in range(TRIGGERS):
+        arrivals.filter(F.col("part") == part).drop("part").write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(arrivals.drop("part").schema).parquet(landed)
+        dedup_stream.dedup_stream(stream, f"{work.path}/kept", f"{work.path}/progress").awaitTermination()
+    kept = spark.read.schema(arrivals.drop("part").schema).parquet(f"{work.path}/kept/articles")
+    return kept.select("ord", "url", "title", F.unix_seconds("published").alias("published"))

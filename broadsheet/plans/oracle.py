@@ -357,6 +357,19 @@ WHERE a.word = 'with'""",
 # --- lookups ---------------------------------------------------------------------------------
 
 ORACLE["tier_lookup"] = with_(DESCRIBED, f"SELECT ord, domain, {tier('domain', 5)} AS tier FROM described")
+ORACLE["tier_repeats"] = with_(
+    DESCRIBED,
+    """SELECT ord, domain, CAST(coalesce(t, 9) AS INTEGER) AS tier FROM described
+LEFT JOIN (SELECT domain, arg_min(ord % 5, ord) AS t FROM described WHERE domain <> 'blog.example.com' GROUP BY domain) USING (domain)""",
+)
+ORACLE["url_repeats"] = with_(
+    FEED,
+    """SELECT ord, coalesce(target, 'https://news.google.com/rss/articles/' || CAST(ord % 70 AS VARCHAR)) AS url
+FROM feed LEFT JOIN (SELECT ord % 70 AS link, arg_min(url, ord) AS target FROM feed WHERE ord % 7 <> 0 GROUP BY ord % 70) m ON m.link = ord % 70""",
+)
+ORACLE["content_repeats"] = """SELECT doc_id, md5(CASE WHEN coalesce(length(text), 0) < 400 THEN coalesce(other, text) ELSE text END) AS content
+FROM documents LEFT JOIN (SELECT doc_id % 50 AS u, min(text) AS other FROM documents WHERE doc_id % 3 <> 0 GROUP BY doc_id % 50) o
+  ON o.u = doc_id % 60"""
 ORACLE["url_resolve"] = with_(
     FEED,
     """SELECT ord, CASE WHEN ord % 3 <> 0 THEN url ELSE 'https://news.google.com/rss/articles/' || CAST(ord AS VARCHAR) END AS url
@@ -377,6 +390,12 @@ ORACLE["dedup_url_first"] = with_(
 ORACLE["dedup_greedy"] = with_(
     FEED + "," + greedy("feed"), "SELECT ord, url, title FROM feed WHERE ord IN (SELECT ord FROM g_kept)", recursive=True
 )
+ORACLE["dedup_daily"] = with_(
+    FEED + "," + greedy("feed"),
+    """SELECT ord, url, title, CASE WHEN ord <= (SELECT max(ord) // 2 FROM feed) THEN '2024-01-30' ELSE '2024-01-31' END AS run
+FROM feed WHERE ord IN (SELECT ord FROM g_kept)""",
+    recursive=True,
+)
 _FIRST = f"(SELECT *, row_number() OVER (PARTITION BY {canonical('url')} ORDER BY ord) AS n FROM labelled)"
 ORACLE["dedup_labelled"] = with_(LABELLED, f"SELECT ord, api_source, url FROM {_FIRST} WHERE n = 1")
 ORACLE["mirror_triage"] = with_(
@@ -659,3 +678,29 @@ listed AS (SELECT page_no, url, api_source, {domain('url')} AS domain FROM (VALU
 hosts AS (SELECT domain, count(*) AS articles FROM described GROUP BY domain)""",
     "SELECT page_no, url, api_source, domain, coalesce(articles, 0) AS articles FROM listed LEFT JOIN hosts USING (domain)",
 )
+
+
+def _stream_dedup(triggers: int = 4, window: int = 10 * 86400, lateness: int = 5 * 86400) -> str:
+    """The state's and the title table's rules, one arrival after another."""
+    parts = [
+        f"""{FEED},
+span AS (SELECT max(ord) + 1 AS m FROM feed),
+ev AS (
+  SELECT ord, url, title, {canonical('url')} AS cu, nullif({title_key('title')}, '') AS tk, ord * {triggers} // m AS part,
+    1704067200 + ord * 3456000 // m - CASE WHEN ord % 16 = 5 THEN 1296000 ELSE 0 END AS ts
+  FROM feed, span WHERE url <> '' AND title <> '')"""
+    ]
+    for n in range(triggers):
+        mark = f"(SELECT coalesce(max(ts) - {lateness}, 0) FROM ev WHERE part < {n})"
+        urls = " UNION ALL ".join(f"SELECT cu, ts FROM u{i}" for i in range(n)) or "SELECT '' AS cu, 0 AS ts WHERE false"
+        titles = " UNION ALL ".join(f"SELECT tk, ts FROM t{i}" for i in range(n)) or "SELECT '' AS tk, 0 AS ts WHERE false"
+        parts.append(f"""
+c{n} AS (SELECT ev.* FROM ev JOIN (SELECT cu, min(ord) AS ord FROM ev WHERE part = {n} AND ts > {mark} GROUP BY cu) USING (cu, ord)),
+u{n} AS (SELECT * FROM c{n} WHERE cu NOT IN (SELECT cu FROM ({urls}) WHERE ts + {window} > {mark})),
+t{n} AS (
+  SELECT * FROM u{n} a WHERE tk IS NULL OR (ord = (SELECT min(ord) FROM u{n} b WHERE b.tk = a.tk)
+    AND NOT EXISTS (SELECT 1 FROM ({titles}) k WHERE k.tk = a.tk AND abs(k.ts - a.ts) <= {window})))""")
+    return with_(",".join(parts), " UNION ALL ".join(f"SELECT ord, url, title, ts AS published FROM t{n}" for n in range(triggers)))
+
+
+ORACLE["stream_dedup"] = _stream_dedup()

@@ -26,6 +26,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store the path names."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(location)
+
+
 class Workspace:
     """A fresh folder below the checkpoint root for the tables of one operator run."""
 

@@ -18,6 +18,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Plan tests look at the executions of inner jobs, which must not have been dropped by then.
+        .config("spark.sql.ui.retainedExecutions", "100000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
