@@ -105,6 +105,11 @@ def near(text: Column, terms: Sequence[str], distance: int = 20) -> Column:
     words = F.regexp_extract_all(lower, F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
     placed = F.transform(words, lambda word, at: F.struct(word.alias("word"), at.alias("at")))
     hits = F.filter(placed, lambda hit: hit["word"].isin(*wanted))
+    return F.coalesce(F.when(possible, all_close(hits, wanted, distance)), F.lit(False))
+
+
+def all_close(hits: Column, wanted: Sequence[str], distance: int) -> Column:
+    """Whether ``hits``, an array of structs of ``word`` and ``at`` in the order of ``at``, has all wanted words within the distance."""
 
     def start() -> Column:
         unseen = [F.lit(None).cast("int").alias(f"t{i}") for i in range(len(wanted))]
@@ -118,8 +123,7 @@ def near(text: Column, terms: Sequence[str], distance: int = 20) -> Column:
         close = seen["near"] | F.coalesce(complete & (span <= distance), F.lit(False))
         return F.struct(*(position.alias(f"t{i}") for i, position in enumerate(last)), close.alias("near"))
 
-    found = F.aggregate(hits, start(), step, lambda seen: seen["near"])
-    return F.coalesce(F.when(possible, found), F.lit(False))
+    return F.aggregate(hits, start(), step, lambda seen: seen["near"])
 
 
 def search_near(df: DataFrame, text: str, terms: Sequence[str], distance: int = 20) -> DataFrame:

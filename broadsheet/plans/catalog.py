@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from broadsheet import fixed_values as fixed
 from broadsheet.functions import dates, text, urls
-from broadsheet.operators import dedup, filters, history, lookup, metrics, pages, rank, relevance, sinks
-from broadsheet.operators.normalize import date_gate, normalize, special_source, tier_of
+from broadsheet.operators import dedup, filters, history, lookup, metrics, pages, positions, rank, relevance, sinks
+from broadsheet.operators.normalize import date_gate, describe, normalize, special_source, tier_of
+from broadsheet.operators.search_string import search_column
 from broadsheet.operators.triage import triage
 from broadsheet.operators.validate import judge_dates
 from broadsheet.plans import digest
@@ -307,6 +308,47 @@ def search_near_three(spark, sf_dir):
     return filters.search_near(_table(spark, sf_dir, "documents"), "text", ["with", "from", "that"], 15).select("doc_id")
 
 
+SEARCH = (
+    '(near20:"with from" OR near5:"with that" OR "from the" OR worthless) -"que la" '
+    "(domain:gov OR domain:gov.cn OR site:reuters.com) when:20d"
+)
+
+
+@query
+def search_as_written(spark, sf_dir):
+    """A search string as a news service takes it, over the feed."""
+    items = describe(landed_articles(spark, sf_dir), FEED_SETTINGS)
+    wanted = search_column(SEARCH, F.col("reasoning"), F.col("domain"), F.col("published"), FEED_SETTINGS.as_of)
+    return items.filter(wanted).select("ord", "domain")
+
+
+def _index(spark: SparkSession, sf_dir: str) -> positions.PositionIndex:
+    """An index of all documents, appended in two batches."""
+    docs = _table(spark, sf_dir, "documents")
+    index = positions.PositionIndex(spark, Workspace(spark, "index").path, buckets=8)
+    middle = F.lit(docs.agg(F.expr("max(doc_id) div 2")).first()[0])
+    index.append(docs.filter(F.col("doc_id") <= middle), 0)
+    index.append(docs.filter(F.col("doc_id") > middle), 1)
+    return index
+
+
+def _ids(found: DataFrame) -> DataFrame:
+    return found.select(F.col("doc").cast("bigint").alias("doc_id"))
+
+
+@query
+def index_near(spark, sf_dir):
+    return _ids(_index(spark, sf_dir).near(["with", "from"], 20))
+
+
+@query
+def index_mixed(spark, sf_dir):
+    """``search_mixed`` from postings."""
+    index = _index(spark, sf_dir)
+    wanted = index.near(["with", "from"], 3).union(index.near(["with", "that"], 3)).union(index.phrase("Worthless"))
+    return _ids(wanted.distinct().join(index.phrase("que la"), "doc", "left_anti"))
+
+
 # --- lookups ---------------------------------------------------------------------------------
 
 

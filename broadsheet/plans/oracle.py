@@ -346,6 +346,23 @@ ORACLE["search_mixed"] = with_(
   OR doc_id IN (SELECT a.doc_id FROM hits a JOIN hits b ON a.doc_id = b.doc_id AND abs(a.at - b.at) <= 3
     WHERE a.word = 'with' AND b.word IN ('from', 'that')))""",
 )
+ORACLE["search_as_written"] = with_(
+    NORMALIZED
+    + rf""",
+split AS (SELECT ord, regexp_extract_all(lower(reasoning), '[\p{{L}}\p{{N}}]+') AS w FROM feed),
+spots AS (SELECT ord, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM split),
+pairs AS (
+  SELECT a.ord, b.word, abs(a.place - b.place) AS gap FROM spots a JOIN spots b ON a.ord = b.ord
+  WHERE a.word = 'with' AND b.word IN ('from', 'that'))""",
+    f"""SELECT ord, domain FROM dated
+WHERE regexp_matches(title, '{NOT_WS}{WS}+{NOT_WS}') AND {allowed('domain', ('gov', 'gov.cn', 'reuters.com'))}
+  AND ({allowed('domain')} OR api_source = 'chinese_state_media')
+  AND coalesce(published >= TIMESTAMP '2024-01-11 12:00:00', false) AND NOT contains(lower(reasoning), 'que la')
+  AND (contains(lower(reasoning), 'from the') OR contains(lower(reasoning), 'worthless')
+    OR ord IN (SELECT ord FROM pairs WHERE (word = 'from' AND gap <= 20) OR (word = 'that' AND gap <= 5)))""",
+)
+ORACLE["index_near"] = ORACLE["search_near"]
+ORACLE["index_mixed"] = ORACLE["search_mixed"]
 ORACLE["search_near_three"] = with_(
     _PLACES,
     """SELECT DISTINCT a.doc_id FROM hits a
