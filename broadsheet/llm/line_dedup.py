@@ -83,9 +83,11 @@ def remove_boilerplate(
     removed = lines.join(common, "line", "left_semi").groupBy("key").agg(F.collect_set("pos").alias("removed"))
     marked = rows.select("id", "text", "key").join(removed, "key", "left")
     all_lines = F.split("text", "\n", -1)
-    left = F.array_join(
-        F.filter(all_lines, lambda line, pos: F.col("removed").isNull() | ~F.array_contains(F.col("removed"), pos)), "\n"
-    )
+    # Positions that stay, by a hashed difference, and then their lines, by place: linear in the lines of a text. The
+    # lines are bound, as a lambda that names the split itself would split the text for each of them.
+    stay = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("removed"))
+    rebuilt = F.transform(F.array(all_lines), lambda lines: F.array_join(F.transform(stay, lambda pos: F.get(lines, pos)), "\n"))
+    left = F.get(rebuilt, F.lit(0))
     return marked.select(
         "id",
         F.coalesce(F.size(F.when(F.col("text").isNotNull(), all_lines)), F.lit(0)).cast("long").alias("n_lines"),
