@@ -1,6 +1,6 @@
 """Exact duplicates by deterministic block naming.
 
-Texts are cut into blocks of fixed size. The distinct blocks are sorted and numbered, so that a
+Texts are cut into blocks of a fixed number of bytes. The distinct blocks are sorted and numbered, so that a
 block's name is an integer that no other block has. Then adjacent names are paired, the distinct
 pairs sorted and numbered, and so on, until one name is left of each document. Two documents end
 at the same level with the same name exactly if their texts are equal: no hash decides anything.
@@ -48,9 +48,15 @@ def name_texts(texts: DataFrame, block: int = BLOCK) -> DataFrame:
     the one below, so the work is dominated by the first; documents of one name leave.
     """
     work = Workspace(texts.sparkSession, "naming")
-    count = F.greatest(F.lit(1), F.ceil(F.length("text") / block)).cast("int")
-    cut = texts.select("rid", F.explode(F.sequence(F.lit(0), count - 1)).alias("i"), count.alias("n"), "text")
-    blocks = work.write(cut.select("rid", "i", "n", F.expr(f"substring(text, i * {block} + 1, {block})").alias("block")))
+    count = F.greatest(F.lit(1), F.ceil(F.octet_length("text") / block)).cast("int")
+    # Slices of the bytes, which are at hand by place; characters would be counted from the start for each block.
+    # The bytes are bound, as a lambda that names the column would copy them for each block.
+    slices = F.transform(
+        F.array(F.col("text").cast("binary")),
+        lambda raw: F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(raw, i * block + 1, F.lit(block))),
+    )
+    cut = texts.select("rid", count.alias("n"), F.posexplode(F.get(slices, F.lit(0))).alias("i", "block"))
+    blocks = work.write(cut.select("rid", "i", "n", "block"))
     names = number_distinct(blocks, ["block"], work)
     current = work.write(blocks.join(names, "block").select("rid", "i", "n", "name"))
     done = current.filter("n = 1").select("rid", F.lit(0).alias("level"), "name")
