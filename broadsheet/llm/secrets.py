@@ -58,12 +58,17 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def token_spans(text: str, taken: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
-    """Opaque tokens that no base span touches."""
+    """Opaque tokens that no base span touches. Both lists are in the order of their starts: one pass over each."""
     found = []
+    place, reached = 0, -1
     for m in TOKEN.finditer(text):
+        # How far the base spans reach that start before this token ends.
+        while place < len(taken) and taken[place][0] < m.end():
+            reached = max(reached, taken[place][2])
+            place += 1
         value = m[0]
         mixed = any(map(str.isdigit, value)) and any(map(str.isalpha, value))
-        if mixed and entropy(value) >= TOKEN_ENTROPY and not any(s < m.end() and m.start() < e for s, _, e, _ in taken):
+        if reached <= m.start() and mixed and entropy(value) >= TOKEN_ENTROPY:
             found.append((m.start(), 3, m.end(), value))
     return found
 
