@@ -522,14 +522,14 @@ def per_source_cap(spark, sf_dir):
     return items.select("ord", "title", "url")
 
 
-def _published(spark: SparkSession, sf_dir: str) -> str:
+def _published(spark: SparkSession, sf_dir: str, cap: int | None = 100) -> str:
     """The three lists of a run, written twice, as by a retried run; the folder they are in."""
     items = _described(spark, sf_dir)
     path = Workspace(spark, "published").path
     for _ in range(2):
         sinks.publish(items, path, "pre_filtered", "20240131_120000")
         sinks.publish(items.filter("tier = 1"), path, "raw", "20240131_120000")
-        sinks.publish(items, path, "final", "20240131_120000", cap=100)
+        sinks.publish(items, path, "final", "20240131_120000", cap=cap)
     return path
 
 
@@ -539,6 +539,13 @@ def published_stages(spark, sf_dir):
     return lists.select("stage", "idx", "ord", "title")
 
 
+@query
+def published_whole(spark, sf_dir):
+    """The same without the report's cap on the final list."""
+    lists = spark.read.parquet(f"{_published(spark, sf_dir, None)}/lists")
+    return lists.select("stage", "idx", "ord", "title")
+
+
 @query
 def latest_snapshot(spark, sf_dir):
     return spark.read.parquet(f"{_published(spark, sf_dir)}/latest").select("idx", "ord", "domain", "seendate")

@@ -462,6 +462,12 @@ ORACLE["published_stages"] = with_(
 UNION ALL SELECT 'raw', {_NUMBERED}, title FROM described WHERE tier = 1
 UNION ALL SELECT * FROM (SELECT 'final', {_NUMBERED}, title FROM described ORDER BY {RANK} LIMIT 100)""",
 )
+ORACLE["published_whole"] = with_(
+    DESCRIBED,
+    f"""SELECT 'pre_filtered' AS stage, {_NUMBERED}, title FROM described
+UNION ALL SELECT 'raw', {_NUMBERED}, title FROM described WHERE tier = 1
+UNION ALL SELECT 'final', {_NUMBERED}, title FROM described""",
+)
 ORACLE["latest_snapshot"] = with_(DESCRIBED, f"SELECT {_NUMBERED}, domain, seendate FROM described")
 ORACLE["per_source_cap"] = with_(
     FEED, "SELECT (ord // 50) * 16777216 + ord % 50 AS ord, title, url FROM feed WHERE ord % 50 < 20"
