@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from broadsheet import fixed_values as fixed
 from broadsheet.functions import dates, text, urls
-from broadsheet.operators import dedup, filters, history, lookup, metrics, pages, positions, rank, relevance, sinks
+from broadsheet.operators import batch_model, dedup, filters, history, keywords, lookup, metrics, pages, positions, rank, relevance, sinks
 from broadsheet.operators.normalize import date_gate, describe, normalize, special_source, tier_of
 from broadsheet.operators.search_string import search_column
 from broadsheet.operators.triage import triage
@@ -20,6 +22,7 @@ from broadsheet.plans import digest
 from broadsheet.settings import REPORT_CAPS
 from broadsheet.sources import landing, reference
 from broadsheet.sources.articles import FEED_SETTINGS, landed_articles, landed_stream
+from broadsheet.sources.payload_table import PayloadTable
 from broadsheet.storage import Workspace
 from broadsheet.streaming import dedup_stream, landing_stream
 
@@ -283,6 +286,16 @@ def keyword_any(spark, sf_dir):
     return filters.filter_keywords(landed_articles(spark, sf_dir), FEED_SETTINGS.feed_keywords).select("ord", "title")
 
 
+@query
+def keyword_table(spark, sf_dir):
+    """The words of the test items as a watch list: which of them each title or url holds."""
+    items = _table(spark, sf_dir, "benchmark")
+    words = items.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"([^\s.,!?]+)"), F.lit(1))).alias("keyword"))
+    hits = keywords.keyword_hits(landed_articles(spark, sf_dir), words)
+    listed = F.md5(F.array_join(F.transform("keywords", F.lower), ","))
+    return hits.select("ord", "field", F.size("keywords").cast("bigint").alias("n_keywords"), listed.alias("keywords_md5"))
+
+
 @query
 def search_boolean(spark, sf_dir):
     feed = _described(spark, sf_dir)
@@ -615,6 +628,36 @@ def gdelt_items(spark, sf_dir):
     return items.select("ord", "title", "url", "seendate", "api_source")
 
 
+def _landed_by_day(spark: SparkSession, sf_dir: str) -> PayloadTable:
+    """The feed landed day by day, its first payloads twice."""
+    feed = landed_articles(spark, sf_dir)
+    number = (F.datediff("day", F.lit("2024-01-01")) * (1 << 24) + F.floor(F.col("ord") / (30 * PAYLOAD_ITEMS))).alias("payload_no")
+    item = F.struct("ord", "url", "title", "seendate")
+    grouped = feed.groupBy(F.col("day").alias("ingest_day"), number).agg(F.array_sort(F.collect_list(item)).alias("articles"))
+    payloads = grouped.select("ingest_day", "payload_no", F.to_json(F.struct("articles")).alias("payload"))
+    table = PayloadTable(spark, Workspace(spark, "landed").path)
+    table.land(payloads, "gdelt")
+    table.land(payloads.filter("ingest_day < DATE '2024-01-20'"), "gdelt")
+    return table
+
+
+@query
+def landed_window(spark, sf_dir):
+    """Items of the days in the window; other days are not read."""
+    payloads = _landed_by_day(spark, sf_dir).read("gdelt", FEED_SETTINGS)
+    return landing.gdelt_items(payloads, FEED_SETTINGS).select("title", "url", "seendate")
+
+
+@query
+def landed_days(spark, sf_dir):
+    """Items of the days on which an event of the highest value of its type happened."""
+    events = _table(spark, sf_dir, "events")
+    best = events.groupBy("event_type").agg(F.max("value").alias("value"))
+    days = events.join(best, ["event_type", "value"]).select(F.to_date("ts").alias("day"))
+    payloads = _landed_by_day(spark, sf_dir).read_days("gdelt", days)
+    return landing.gdelt_items(payloads, FEED_SETTINGS).select("title", "url", "seendate")
+
+
 def _files(payloads: DataFrame, kind: str) -> str:
     """The payloads as plain files in one folder, in the order of their names."""
     path = Workspace(payloads.sparkSession, kind).path
@@ -815,6 +858,33 @@ def relevant_articles(spark, sf_dir):
     return kept.select("ord", "reasoning")
 
 
+def _model() -> batch_model.Reply:
+    """Answers by the hash of a prompt; a batch with a prompt whose hash begins with 0 to 3 fails."""
+
+    def reply(prompts: list[str]) -> list[str]:
+        digests = [hashlib.md5(prompt.encode()).hexdigest() for prompt in prompts]
+        if any(digest[0] in "0123" for digest in digests):
+            raise ValueError("no answer")
+        answers = [{"is_relevant": " yes" if digest[1] < "8" else "NO", "reasoning": digest} for digest in digests]
+        return ["not json" if digest[2] == "0" else f"Answer:\n```json\n{json.dumps(answer)}\n```" for digest, answer in zip(digests, answers)]
+
+    return reply
+
+
+@query
+def scored_in_batches(spark, sf_dir):
+    """Answers and errors of a model that fails on a quarter of the rows."""
+    scored = batch_model.batch_scorer(_model)(_described(spark, sf_dir))
+    return scored.select("ord", "is_relevant", "reasoning", "error")
+
+
+@query
+def relevant_in_batches(spark, sf_dir):
+    """Articles that the same model calls relevant: failed rows go."""
+    kept = relevance.score_relevance(_described(spark, sf_dir), batch_model.batch_scorer(_model))
+    return kept.select("ord", "reasoning")
+
+
 def _held_out(column: str) -> Column:
     """A quarter of the documents, by the first digit of the id's hash."""
     return F.substring(F.md5(F.col(column).cast("string").cast("binary")), 1, 1).isin("0", "4", "8", "c")

@@ -727,3 +727,32 @@ t{n} AS (
 
 
 ORACLE["stream_dedup"] = _stream_dedup()
+
+# --- keyword tables, models in batches, payloads by day ----------------------------------------
+
+ORACLE["keyword_table"] = with_(
+    FEED,
+    r"""SELECT ord, field, count(*) AS n_keywords, md5(string_agg(lower(keyword), ',' ORDER BY keyword)) AS keywords_md5
+FROM (SELECT ord, 'title' AS field, title AS t FROM feed UNION ALL SELECT ord, 'url', url FROM feed)
+JOIN (SELECT DISTINCT replace(upper(unnest(regexp_extract_all(lower(text), '([^\s.,!?]+)'))), 'ẞ', 'SS') AS keyword FROM benchmark)
+  ON contains(replace(upper(t), 'ẞ', 'SS'), keyword) GROUP BY ord, field""",
+)
+_ANSWERS = """
+hashed AS (SELECT ord, md5(concat_ws(chr(10), title, domain, reasoning)) AS h FROM described),
+answers AS (
+  SELECT ord, h, CASE WHEN h[1] IN ('0', '1', '2', '3') THEN 'ValueError: no answer'
+                      WHEN h[3] = '0' THEN 'unreadable reply' END AS error FROM hashed)"""
+ORACLE["scored_in_batches"] = with_(
+    DESCRIBED + "," + _ANSWERS,
+    """SELECT ord, CASE WHEN error IS NULL AND h[2] < '8' THEN ' yes' ELSE 'NO' END AS is_relevant,
+  CASE WHEN error IS NULL THEN h ELSE '' END AS reasoning, error FROM answers""",
+)
+ORACLE["relevant_in_batches"] = with_(
+    DESCRIBED + "," + _ANSWERS, "SELECT ord, h AS reasoning FROM answers WHERE error IS NULL AND h[2] < '8'"
+)
+ORACLE["landed_window"] = with_(FEED, "SELECT title, url, seendate FROM feed WHERE day >= DATE '2024-01-24'")
+ORACLE["landed_days"] = with_(
+    FEED,
+    """SELECT title, url, seendate FROM feed WHERE day IN (
+  SELECT CAST(ts AS DATE) FROM (SELECT *, max(value) OVER (PARTITION BY event_type) AS best FROM events) WHERE value = best)""",
+)
