@@ -7,7 +7,7 @@ dated after the day it came in; a source that announces later dates is read with
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,5 +42,7 @@ class PayloadTable:
     def read_days(self, source: str, days: DataFrame, day: str = "day") -> DataFrame:
         """Payloads of the days in a table, however often it has them. The days are known when the query runs,
         and prune the partitions then."""
-        wanted = days.select(F.col(day).cast("date").alias("ingest_day"))
+        wanted = days.select(F.col(day).cast("date").alias("ingest_day")).distinct()
+        # The optimizer prunes at run time if it sees a comparison on the table's side; nothing was landed before 1970.
+        wanted = wanted.filter(F.col("ingest_day") >= F.lit(date(1970, 1, 1)))
         return self._source(source).join(wanted, "ingest_day", "left_semi").select("payload_no", "payload")
