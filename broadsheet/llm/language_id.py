@@ -12,13 +12,13 @@ Languages that tie go to the first by name. A model that has learned nothing ans
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Collection, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import free_name
@@ -44,12 +44,14 @@ def grams_of(word: str, n: int) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """Log frequencies per language: one matrix, with a row for each known word, then for each known gram."""
+    """Log frequencies per language: one matrix, with a row for each known word, then for each known gram;
+    ``cut`` counts the pieces of the sample that found no room."""
 
     languages: list[str]
     words: dict[str, int]
     grams: dict[str, int]
     logs: np.ndarray
+    cut: int = 0
     _unseen: dict[str, list[int]] = field(default_factory=dict, repr=False)
 
     def rows(self, word: str) -> list[int]:
@@ -115,28 +117,28 @@ def sample_by_language(training: DataFrame, per_language: int) -> tuple[DataFram
 
     The share of hashes that is taken follows from the number of different ones, so no task ever
     sees more than a bounded number of texts, and a language with fewer texts is taken whole,
-    however many copies it holds; copies of one text fall together before the shuffle.
+    however many copies it holds; copies of one text fall together before the shuffle. The shares are
+    a table with a row for each language, whose written size decides how it is joined.
     """
+    scale = 1 << 20
     hashed = training.withColumn("hash", F.xxhash64("text"))
     different = hashed.select("lang", "hash").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
-    sizes = {row["lang"]: row["texts"] for row in different.collect()}
-    scale = 1 << 20
-    share = F.lit(0)
-    for language, texts in sizes.items():
-        share = F.when(F.col("lang") == language, min(scale, -(-scale * per_language // texts))).otherwise(share)
-    chosen = hashed.filter(F.pmod("hash", F.lit(scale)) < share)
-    return chosen.groupBy("lang", "hash").agg(F.first("text").alias("text")), sorted(sizes)
+    share = F.least(F.lit(scale), F.ceil(F.lit(scale * per_language) / F.col("texts"))).alias("share")
+    shares = Workspace(training.sparkSession, "shares").write(different.select("lang", share))
+    chosen = hashed.join(shares, "lang").filter(F.pmod("hash", F.lit(scale)) < F.col("share"))
+    texts = chosen.groupBy("lang", "hash").agg(F.first("text").alias("text"))
+    return texts, sorted(row["lang"] for row in shares.select("lang").collect())
 
 
-def _matrix(rows: list, languages: list[str], kinds: dict[int, dict[str, int]]) -> tuple[dict[str, int], np.ndarray]:
-    counts = np.array([[row[f"c{i}"] for i in range(len(languages))] for row in rows], float).reshape(len(rows), len(languages))
-    logs = np.zeros_like(counts)
-    for n, totals in kinds.items():
-        own = [i for i, row in enumerate(rows) if row["n"] == n]
-        if own:
-            total = np.array([totals.get(language, 0) for language in languages], float)
-            logs[own] = np.log((counts[own] + SMOOTHING) / (total + SMOOTHING * len(own)))
-    return {row["piece"]: i for i, row in enumerate(rows)}, logs
+def _most_frequent(counts: DataFrame, words: int | None, grams: int | None) -> DataFrame:
+    """The rows of ``counts`` whose piece is among the most frequent ones of any language: each language has
+    room for as many words and as many grams, whatever the others hold. None is room for all."""
+    kind = F.col("n") > 0
+    first = Window.partitionBy("lang", kind).orderBy(F.col("times").desc(), "n", "piece")
+    place = counts.withColumn("place", F.row_number().over(first))
+    room = [F.lit(True) if size is None else F.col("place") <= size for size in (grams, words)]
+    kept = place.filter((kind & room[0]) | (~kind & room[1])).select("n", "piece").distinct()
+    return counts.join(kept, ["n", "piece"], "left_semi")
 
 
 def learn(
@@ -144,14 +146,15 @@ def learn(
     text_col: str = "text",
     lang_col: str = "lang",
     per_language: int = 2_000,
-    vocabulary: int = 100_000,
-    grams: int = 120_000,
+    vocabulary: int | None = 50_000,
+    grams: int | None = 60_000,
 ) -> LanguageModel:
     """A model from the rows that have text and language.
 
-    The fit reads about ``per_language`` texts of each language; ``vocabulary`` words and ``grams``
-    grams, the most frequent ones, make up the model, so that its size is bounded. Counting is a
-    Spark aggregation; only the model itself reaches the driver.
+    The fit reads about ``per_language`` texts of each language. The ``vocabulary`` most frequent words and the
+    ``grams`` most frequent grams of each language make up the model, so that a language with few or short
+    texts keeps its own, however much the others hold; None keeps all pieces of the sample. ``cut`` in the
+    model tells how many were left out. Counting is a Spark aggregation; only the model itself reaches the driver.
     """
     pairs = training.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     sample, languages = sample_by_language(pairs.filter("lang IS NOT NULL AND text IS NOT NULL"), per_language)
@@ -163,28 +166,25 @@ def learn(
     # Grams come from the counted words: each different word is taken apart once for a language.
     parts = words.mapInPandas(_count_grams, "lang STRING, n INT, piece STRING, times BIGINT")
     both = words.select("lang", F.lit(0).alias("n"), F.col("word").alias("piece"), "times").union(parts)
-    by_language = [
-        F.coalesce(F.sum(F.when(F.col("lang") == language, F.col("times"))), F.lit(0)).alias(f"c{i}")
-        for i, language in enumerate(languages)
-    ]
-    pieces = work.write(both.groupBy("n", "piece").agg(F.sum("times").alias("times"), *by_language))
-    columns = [f"c{i}" for i in range(len(languages))]
-    totals = {row["n"]: [row[c] for c in columns] for row in pieces.groupBy("n").agg(*(F.sum(c).alias(c) for c in columns)).collect()}
-    order = [F.col("times").desc(), F.col("n"), F.col("piece")]
-    kept = [
-        pieces.filter("n = 0").orderBy(*order).limit(vocabulary).toPandas(),
-        pieces.filter("n > 0").orderBy(*order).limit(grams).toPandas(),
-    ]
-    rows = pd.concat(kept, ignore_index=True)
-    size = rows.groupby("n")["n"].transform("size").to_numpy()[:, None]
-    total = np.array([totals[n] for n in rows["n"]], float)
-    logs = np.log((rows[columns].to_numpy(float) + SMOOTHING) / (total + SMOOTHING * size))
-    known, cut = rows["piece"].tolist(), len(kept[0])
+    counts = work.write(both.groupBy("lang", "n", "piece").agg(F.sum("times").alias("times")))
+    totals = {(row["lang"], row["n"]): row["times"] for row in counts.groupBy("lang", "n").agg(F.sum("times").alias("times")).collect()}
+    different = counts.select("n", "piece").distinct().count()
+    kept = _most_frequent(counts, vocabulary, grams).orderBy("n", "piece").toPandas()
+    row = kept.groupby(["n", "piece"], sort=False).ngroup().to_numpy(int)
+    pieces = kept.drop_duplicates(["n", "piece"])
+    n = pieces["n"].to_numpy(int)
+    times = np.zeros((len(pieces), len(languages)))
+    times[row, pd.Index(languages).get_indexer(kept["lang"])] = kept["times"].to_numpy(float)
+    sizes = np.bincount(n, minlength=LONGEST + 1)
+    total = np.array([[totals.get((language, length), 0) for language in languages] for length in range(LONGEST + 1)], float)
+    logs = np.log((times + SMOOTHING) / (total[n] + SMOOTHING * sizes[n][:, None]))
+    known, words_known = pieces["piece"].tolist(), int(sizes[0])
     return LanguageModel(
         languages,
-        {piece: i for i, piece in enumerate(known[:cut])},
-        {piece: i for i, piece in enumerate(known[cut:], cut)},
+        {piece: i for i, piece in enumerate(known[:words_known])},
+        {piece: i for i, piece in enumerate(known[words_known:], words_known)},
         logs,
+        different - len(known),
     )
 
 
@@ -215,18 +215,23 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def keep_identified(df: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """The rows whose language is told, all columns as they are; only what ``identify`` calls ``und`` goes.
+def keep_identified(
+    df: DataFrame, model: LanguageModel, text_col: str = "text", languages: Collection[str] | None = None
+) -> DataFrame:
+    """The rows in one of the languages, all columns as they are; None asks for any, and only what ``identify``
+    calls ``und`` goes.
 
     No score is asked for: that of a text without evidence is 1 / number of languages, so any bound
     would make its fate depend on how many were learned.
     """
     shared = share(df, model)
+    wanted = None if languages is None else frozenset(languages)
 
     @F.pandas_udf("boolean")
     def identified(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = LanguageModel(*shared.value)
         for texts in batches:
-            yield pd.Series([own.predict(text)[0] != UNDETERMINED for text in texts], dtype=bool)
+            found = [own.predict(text)[0] for text in texts]
+            yield pd.Series([name != UNDETERMINED and (wanted is None or name in wanted) for name in found], dtype=bool)
 
     return df.filter(identified(F.col(text_col)))

@@ -90,3 +90,73 @@ def test_clean_documents_stay_however_many_languages(spark, languages):
     texts = ["漢字 漢字", "in", "In in", "de", "123", "", None]
     docs = spark.createDataFrame([(text,) for text in texts], "text STRING")
     assert [row["text"] for row in language_id.keep_identified(docs, model).collect()] == texts[:4]
+
+
+def test_languages_asked_for(spark):
+    rows = [("the house is here", "en"), ("das haus ist hier", "de"), ("la maison est ici", "fr")]
+    model = language_id.learn(spark.createDataFrame(rows, "text STRING, lang STRING"))
+    texts = ["this house", "ein haus", "la maison", "12 !", None]
+    docs = spark.createDataFrame([(text,) for text in texts], "text STRING")
+    kept = lambda languages: [row["text"] for row in language_id.keep_identified(docs, model, languages=languages).collect()]
+    assert kept(None) == texts[:3]
+    assert kept(["de", "fr"]) == texts[1:3] and kept({"en"}) == texts[:1] and kept([]) == []
+
+
+def test_a_small_language_keeps_its_words(spark):
+    """A large language has more different words, each more frequent, than the small one."""
+    large = [(" ".join(f"{a}{b}{c}" for c in "aeiou") * 5, "la") for a in "bcdfg" for b in "aeiou"]
+    rows = [*large, ("zwölf kleine wörter", "sm")]
+    table = spark.createDataFrame(rows, "text STRING, lang STRING")
+    model = language_id.learn(table, vocabulary=5, grams=40)
+    assert {"zwölf", "kleine", "wörter"} <= set(model.words) and len(model.words) == 5 + 3
+    assert model.cut > 0 and model.predict("kleine")[0] == "sm"
+    whole = language_id.learn(table, vocabulary=None, grams=None)
+    assert whole.cut == 0 and set(model.words) < set(whole.words) and set(model.grams) < set(whole.grams)
+
+
+def brute_force_prediction(training, text):
+    """Language and score by the method as the docstring has it, from plain counts of all pieces."""
+    from collections import Counter
+    from math import exp, log
+
+    languages = sorted({lang for _, lang in training})
+    cut = lambda word, n: [word] if n == 0 else [w[i : i + n] for w in [word if n == 1 else f"_{word}_"] for i in range(len(w) - n + 1)]
+    counts = {(lang, n): Counter() for lang in languages for n in range(6)}
+    for words, lang in training:
+        for word in language_id.words_of(words):
+            for n in range(6):
+                counts[lang, n].update(cut(word, n))
+    known = {n: set().union(*(counts[lang, n] for lang in languages)) for n in range(6)}
+    sums = dict.fromkeys(languages, 0.0)
+    for word in language_id.words_of(text):
+        for n in (0, 5, 4, 3, 2, 1):
+            own = [piece for piece in cut(word, n) if piece in known[n]]
+            if own:
+                break
+        for lang in languages:
+            total = sum(counts[lang, n].values()) + 0.5 * len(known[n])
+            sums[lang] += sum(log((counts[lang, n][piece] + 0.5) / total) for piece in own) / max(len(own), 1)
+    best = max(languages, key=lambda lang: (sums[lang], [-ord(c) for c in lang]))
+    return best, 1 / sum(exp(value - sums[best]) for value in sums.values())
+
+
+def test_predictions_are_brute_force(spark, sf_rows):
+    training = sorted({(row["text"][:400], row["lang"]) for row in sf_rows[::3] if row["text"] and row["lang"]})
+    model = language_id.learn(spark.createDataFrame(training, "text STRING, lang STRING"))
+    assert model.cut == 0
+    for row in sf_rows[1::7]:
+        # Few words, so that scores are not all 1, some of them unseen.
+        text = " ".join(language_id.words_of(row["text"])[3:6]) if row["text"] else ""
+        if text:
+            lang, score = brute_force_prediction(training, text)
+            found = model.predict(text)
+            assert found[0] == lang and abs(found[1] - score) < 1e-9
+
+
+def test_a_very_long_word(spark):
+    rows = [("x" * 300_000 + " one", "en"), ("zwei", "de"), ("!", "fr")]
+    model = language_id.learn(spark.createDataFrame(rows, "text STRING, lang STRING"))
+    assert model.languages == ["de", "en", "fr"] and "x" * 300_000 in model.words
+    assert model.predict("x" * 300_000)[0] == "en" and model.predict("zwei")[0] == "de"
+    nothing = language_id.learn(spark.createDataFrame([("!", "fr")], "text STRING, lang STRING"))
+    assert nothing.words == {} and nothing.predict("zwei") == ("fr", 1.0)
