@@ -14,10 +14,14 @@ from broadsheet.llm.rows import keep_decided
 from broadsheet.storage import Workspace
 
 
+# Languages that the mix is made of; None is every language the documents name.
+LANGUAGES: frozenset[str] | None = None
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; texts without letters go, and all if no document names a language."""
+    """Documents in one of ``LANGUAGES``; texts without letters go, and all if no document names a language."""
     model = language_id.learn(docs.filter(~language_id.held_out(F.col("doc_id"))))
-    return language_id.keep_identified(docs, model)
+    return language_id.keep_identified(docs, model, languages=LANGUAGES)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
