@@ -80,3 +80,19 @@ def test_copies_leave_one_row(spark, messy):
 
 def test_last_stage_on_empty(spark, empty):
     assert corpus_pipeline.mix_sources(spark, empty, SMALL).count() == 0
+
+
+def test_languages_decide(spark, monkeypatch):
+    """Asked for some languages, the first stage drops the documents of the others and nothing else."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    predicted = corpus_pipeline.language_id
+    model = predicted.learn(docs.filter(~predicted.held_out(docs["doc_id"])))
+    monkeypatch.setattr(predicted, "learn", lambda training: model)
+    found = {row["doc_id"]: row["lang_pred"] for row in predicted.identify(docs, model).collect()}
+    assert {"de", "en"} < set(found.values())
+    for languages in (None, frozenset({"de", "en"}), frozenset({"fr"})):
+        monkeypatch.setattr(corpus_pipeline, "LANGUAGES", languages)
+        kept = corpus_pipeline.identify_language(spark, docs, SMALL)
+        assert kept.columns == docs.columns
+        wanted = set(found.values()) - {"und"} if languages is None else languages
+        assert {row["doc_id"] for row in kept.collect()} == {doc for doc, lang in found.items() if lang in wanted}
