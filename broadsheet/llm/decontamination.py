@@ -8,8 +8,9 @@ gives the sketch length at which no match can be missed, however long the docume
 are verified by exact containment of the shingles themselves.
 
 Words are runs of ASCII letters and digits (A-Z in lower case) and of all characters beyond
-ASCII. Texts of fewer than five words are one shingle; texts without a word match nothing, null
-included. Documents are read whole, in one narrow pass and without a shuffle; test items are
+ASCII. A text of fewer than five words is one shingle, and an item of so few words is found wherever
+a document holds this run of words: documents are probed with runs of each length below five that
+occurs among the items. Texts without a word match nothing, null included. Documents are read whole, in one narrow pass and without a shuffle; test items are
 taken in blocks of bounded size, each of which is searched against all documents.
 """
 
@@ -65,17 +66,21 @@ def sketch(item: set[bytes], containment: float) -> list[bytes]:
 
 @dataclass
 class Items:
-    """A block of test items: their ids, their shingles, and which of them a sketch value names."""
+    """A block of test items: their ids, their shingles, which of them a sketch value names, and the numbers of
+    words of those that are shorter than a shingle."""
 
     ids: pa.Array
     shingles: list[set[bytes]]
     index: dict[bytes, list[int]]
     containment: float
+    short: list[int]
 
     def matches(self, text: bytes | None) -> list[tuple[int, int, int]]:
         """Place, size and shared shingles of each item that the text contains."""
         index = self.index
         own = shingles(text)
+        for width in self.short:
+            own += (s for s in shingles(text, width) if s in index)
         hits = {s for s in own if s in index}
         if not hits:
             return []
@@ -114,7 +119,9 @@ def item_blocks(
             for value in sketch(parts, containment) if parts else ():
                 index[value].append(place)
         ids = rows.column("item_id").combine_chunks()
-        yield spark.sparkContext.broadcast((ids, sets, dict(index), containment))
+        words = {value.count(b" ") + 1 for parts in sets for value in parts}
+        short = sorted(n for n in words if n < WIDTH)
+        yield spark.sparkContext.broadcast((ids, sets, dict(index), containment, short))
 
 
 def contaminations(

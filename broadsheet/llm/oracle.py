@@ -52,14 +52,19 @@ ORACLE = {
         WITH dw AS (SELECT doc_id, row_number() OVER () AS rid, {_WORDS} AS w FROM documents),
         d AS (SELECT doc_id, rid, unnest({_SHINGLES}) AS s FROM dw),
         iw AS (SELECT item_id, row_number() OVER () AS no, {_WORDS} AS w FROM benchmark),
-        ia AS (SELECT item_id, no, {_SHINGLES} AS shingles FROM iw),
+        ia AS (SELECT item_id, no, {_SHINGLES} AS shingles FROM iw WHERE len(w) > 4),
         i AS (SELECT item_id, no, len(shingles) AS item_shingles, unnest(shingles) AS s FROM ia),
         hits AS (
             SELECT doc_id, item_id, item_shingles, count(*) AS shared_shingles
             FROM d JOIN i USING (s) GROUP BY doc_id, rid, item_id, no, item_shingles
+        ),
+        short AS (SELECT item_id, ' ' || array_to_string(w, ' ') || ' ' AS run FROM iw WHERE len(w) BETWEEN 1 AND 4),
+        held AS (
+            SELECT doc_id, item_id FROM dw JOIN short ON contains(' ' || array_to_string(w, ' ') || ' ', run)
         )
         SELECT doc_id, item_id, item_shingles, shared_shingles, shared_shingles / item_shingles AS containment
         FROM hits WHERE shared_shingles * 5 >= item_shingles * 4
+        UNION ALL SELECT doc_id, item_id, 1, 1, 1.0 FROM held
     """,
     "op8_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),

@@ -22,7 +22,13 @@ def brute(docs, items):
         own = brute_shingles(doc)
         for i, item in items:
             parts = brute_shingles(item)
-            if parts and len(parts & own) * 5 >= len(parts) * 4:
+            if len(words := TOKEN.findall((item or "").translate(LOWER))) in range(1, 5):
+                # An item of so few words is one run of words, wherever it stands.
+                spelled = TOKEN.findall((doc or "").translate(LOWER))
+                runs = {tuple(spelled[k : k + len(words)]) for k in range(len(spelled))}
+                if tuple(words) in runs:
+                    found.add((d, i, 1, 1))
+            elif parts and len(parts & own) * 5 >= len(parts) * 4:
                 found.add((d, i, len(parts), len(parts & own)))
     return found
 
@@ -54,6 +60,20 @@ def test_no_match_is_missed(spark):
     assert run(spark, docs, items, block_bytes=500)[0] == expected
 
 
+def test_short_items_inside_documents(spark):
+    """Items of one to four words: at the start, inside and at the end of long and short documents, and not where
+    their words only stand in another order or inside longer words."""
+    items = [(1, "Pax"), (2, "red fox"), (3, "a b c"), (4, "one two three four"), (5, "red fox runs far away")]
+    rest = sentence(random.Random(4), 50)
+    docs = [
+        (1, f"pax {rest}"), (2, f"{rest} red, FOX {rest}"), (3, f"{rest} a b c"), (4, "one two three four"), (5, "the red fox"),
+        (6, f"fox red {rest} paxes"), (7, f"{rest} one two three fourth"), (8, "two three four"), (9, None), (10, "red fox runs far away"),
+    ]
+    found = {pair[:2] for pair in run(spark, docs, items)[0]}
+    assert found == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 2), (10, 2), (10, 5)}
+    assert run(spark, docs, items)[0] == brute(docs, items) == run(spark, docs, items, block_bytes=10)[0]
+
+
 def test_sketch_covers_every_way_to_miss():
     for size in range(1, 400):
         item = {str(i).encode() for i in range(size)}
@@ -67,7 +87,9 @@ def test_messy(spark, messy, empty):
     expected = brute(rows, items)
     found, all_rows = run(spark, rows, items)
     assert found == expected
-    assert sum(row["item_id"] == 5 for row in all_rows) == 2  # repeated items are rows of their own
+    holders = {d for d, i, *_ in expected if i == 5}  # the text "x", and the long one that ends in it
+    assert len(holders) == 2
+    assert sum(row["item_id"] == 5 for row in all_rows) == 2 * len(holders)  # repeated items are rows of their own
     frame = spark.createDataFrame(items, "item_id LONG, text STRING")
     clean = decontamination.decontaminate(messy, frame, block_bytes=300)
     bad = {d for d, *_ in expected}
