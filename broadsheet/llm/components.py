@@ -15,8 +15,9 @@ def components(links: DataFrame) -> DataFrame:
     Alternating large-star and small-star rounds: each node's larger neighbours are tied to its
     smallest neighbour, then its smaller ones. The rounds number as the logarithm of the longest
     path; the links of each are a table in the checkpoint folder. A node tied to very many others
-    only ever carries pairs of longs: its minimum is aggregated before the shuffle and joined
-    back, so that adaptive execution can split such a node's rows.
+    only ever carries pairs of longs: its minimum is aggregated before the shuffle, written as a
+    table and joined back from there, so that the join reads nothing but two exchanges and
+    adaptive execution can split such a node's rows.
     """
     work = Workspace(links.sparkSession, "components")
     edges = work.write(
@@ -26,12 +27,12 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         # Large star: neighbours above a node go to the smallest of the node and its neighbours.
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = work.write(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = work.write(
             both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         )
         # Small star: a node's neighbours below it, and the node itself, go to the smallest one.
-        smallest = large.groupBy("a").agg(F.min("b").alias("m"))
+        smallest = work.write(large.groupBy("a").agg(F.min("b").alias("m")))
         joined = large.join(smallest, "a")
         small = joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = work.write(small.union(smallest.select("a", F.col("m").alias("b"))).distinct())

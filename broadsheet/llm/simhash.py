@@ -240,8 +240,9 @@ def near_duplicates(
     marked = work.write(fingerprints(rows, "text", width))
     prints = work.write(marked.groupBy("fp").agg(F.min("id").alias("least")))
     member = components(links(prints, distance)).withColumnRenamed("node", "fp")
-    placed = prints.join(member, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    smallest = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Tables, so that a component of very many fingerprints or rows can be split in the joins.
+    placed = work.write(prints.join(member, "fp", "left").withColumn("component", F.coalesce("component", "fp")))
+    smallest = work.write(placed.groupBy("component").agg(F.min("least").alias("component_id")))
     named = work.write(placed.join(smallest, "component").select("fp", "component", "component_id"))
     return marked.join(named, "fp").select(F.col("id").alias(id_col), "digest", "fp", "component", "component_id")
 
@@ -249,9 +250,10 @@ def near_duplicates(
 def not_kept(near: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """What goes if one row of each component stays, the one of smallest id (nulls last), then digest:
     ``id``, ``digest``, ``n`` of the rows that agree in both."""
-    rows = near.groupBy("component", F.col(id_col).alias("id"), "digest").agg(F.count(F.lit(1)).alias("n"))
+    work = Workspace(near.sparkSession, "stay")
+    rows = work.write(near.groupBy("component", F.col(id_col).alias("id"), "digest").agg(F.count(F.lit(1)).alias("n")))
     order = F.struct(F.col("id").isNull(), F.col("id"), F.col("digest"))
-    best = rows.groupBy("component").agg(F.min_by(F.struct("id", "digest"), order).alias("best"))
+    best = work.write(rows.groupBy("component").agg(F.min_by(F.struct("id", "digest"), order).alias("best")))
     stays = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("digest") == F.col("best.digest"))
     left = rows.join(best, "component").withColumn("n", F.col("n") - F.when(stays, 1).otherwise(0))
     return left.filter("n > 0").groupBy("id", "digest").agg(F.sum("n").alias("n"))
