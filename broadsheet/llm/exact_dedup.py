@@ -102,9 +102,9 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = work.write(
         name_texts(candidates.select("rid", "text"), block).join(candidates.select("rid", "id", "digest"), "rid")
     )
-    # A row number breaks ties between rows of equal id and text.
-    best = named.groupBy("level", "name").agg(
-        F.max(F.struct("id", "rid")).alias("best"), F.count(F.lit(1)).alias("group_size")
+    # A row number breaks ties between rows of equal id and text. A table again, for a hot name.
+    best = work.write(
+        named.groupBy("level", "name").agg(F.max(F.struct("id", "rid")).alias("best"), F.count(F.lit(1)).alias("group_size"))
     )
     grouped = named.join(best, ["level", "name"]).select(
         "id", F.col("best.id").alias("keep_id"), "group_size", (F.col("rid") == F.col("best.rid")).alias("kept"), "digest"
