@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import binary_column
+from broadsheet.storage import Workspace
 
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -70,8 +71,10 @@ def plan_captures(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         F.octet_length(payload).cast("long").alias("size"),
         F.sha2(payload.cast("binary"), 256).alias("digest"),
     )
-    each = rows.groupBy("page", "digest").agg(F.first("id").alias("id"))
-    first = each.groupBy("digest").agg(F.min("id").alias("first_id"))
+    work = Workspace(pages.sparkSession, "captures")
+    each = work.write(rows.groupBy("page", "digest").agg(F.first("id").alias("id")))
+    # Tables, so that a payload of very many pages can be split in the join.
+    first = work.write(each.groupBy("digest").agg(F.min("id").alias("first_id")))
     plan = each.select("page", "digest").join(first, "digest")
     joined = rows.join(plan, ["page", "digest"])
     # The join's partitioning serves the window: copies of one row are numbered.
@@ -197,7 +200,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: ``capture`` (response or revisit), and the ``request`` and ``metadata`` records
-    that are concurrent to it (null if none is; of several, the first by record id)."""
+    that are concurrent to it (null if none is; of several, the first by record id). Records whose payload
+    column was dropped give captures without it."""
     captures = records.filter("type IN ('response', 'revisit')")
     side = F.struct("record_id", "target_uri", "date", "content_type", "block")
     others = (
@@ -211,7 +215,8 @@ def assemble(records: DataFrame) -> DataFrame:
     nested = captures.select(
         F.col("record_id").alias("id"),
         F.struct(
-            "record_id", "type", "target_uri", "date", "refers_to", "payload_digest", "payload", "payload_bytes", "payload_sha256"
+            *("record_id", "type", "target_uri", "date", "refers_to", "payload_digest"),
+            *(name for name in ("payload", "payload_bytes", "payload_sha256") if name in records.columns),
         ).alias("capture"),
     )
     return nested.join(others, F.col("id") == F.col("of"), "left").select("capture", "request", "metadata")
