@@ -5,10 +5,12 @@ documents, gives each document's evidence as a log likelihood ratio. Hosts and p
 known of their surroundings: the mean quality of a path is shrunk toward that of its host, and a
 host's toward the whole corpus, the more so the fewer documents it has. The strength of each
 prior follows from the spread of the groups (method of moments), so all of it comes from grouped
-aggregations over all documents. Evidence and path prior add up to the posterior of a document.
+aggregations over all documents. A document's posterior adds its evidence to the prior that its
+host and path make without it (its own view, or label, taken out of both sums), so that nothing is
+counted twice where a path has few documents.
 
 Labels of null or other values than 0 and 1 are not learned from. Null or empty text has no
-evidence, and its posterior is its path's. Null hosts and paths are groups of their own. Without
+evidence, and its posterior is what the others of its path make of it. Null hosts and paths are groups of their own. Without
 labels of both kinds everything is as good as the prior, one half.
 """
 
@@ -162,8 +164,8 @@ def score(
     keep: float = 0.5,
     fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
-    """One row per row of docs: the id as ``id``, ``host``, ``path``, ``evidence``, ``host_prior``, ``path_prior``, ``posterior`` (0 to 1)
-    and ``kept`` (posterior at least ``keep``). The classifier is fitted on ``fit_rows`` labelled documents
+    """One row per row of docs: the id as ``id``, ``host``, ``path``, ``evidence``, ``host_prior``, ``path_prior``, ``prior`` (the
+    path's without this document), ``posterior`` (0 to 1) and ``kept`` (posterior at least ``keep``). The classifier is fitted on ``fit_rows`` labelled documents
     or so; everything else covers all documents and labels."""
     work = Workspace(docs.sparkSession, "quality")
     host = F.col("source") if host is None else host
@@ -183,12 +185,15 @@ def score(
         for texts in batches:
             yield texts.map(model.of).astype(float)
 
-    told = work.write(rows.select("id", "host", "path", evidence("text").alias("evidence")))
     base = known.agg(F.avg("label").alias("m")).first()["m"]
     base = 0.5 if base is None else min(max(base, 0.01), 0.99)
     good = 1 / (1 + F.exp(-(F.col("evidence") + math.log(base / (1 - base)))))
     # Labels, where known, stand for the classifier's view of a document.
-    viewed = told.join(known, F.col("id") == F.col("label_id"), "left").withColumn("good", F.coalesce(F.col("label").cast("double"), good))
+    told = rows.select("id", "host", "path", evidence("text").alias("evidence"))
+    viewed = told.join(known, F.col("id") == F.col("label_id"), "left").select(
+        "id", "host", "path", "evidence", F.coalesce(F.col("label").cast("double"), good).alias("good")
+    )
+    viewed = work.write(viewed)
     paths = work.write(viewed.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("good")))
     hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good"))
     total = hosts.agg(F.sum("host_n").alias("n"), F.sum("host_good").alias("good")).first()
@@ -196,15 +201,17 @@ def score(
     by_host = strength(hosts, F.col("host_good") / F.col("host_n"), F.lit(world), F.col("host_n"))
     hosts = hosts.withColumn("host_prior", (F.col("host_good") + by_host * world) / (F.col("host_n") + by_host))
     both = work.write(
-        paths.withColumnRenamed("host", "h").join(hosts.select("host", "host_prior"), F.col("h").eqNullSafe(F.col("host"))).drop("h")
+        paths.withColumnRenamed("host", "h").join(hosts, F.col("h").eqNullSafe(F.col("host"))).drop("h")
     )
     by_path = strength(both, F.col("good") / F.col("n"), F.col("host_prior"), F.col("n"))
     priors = both.select(
-        F.col("host").alias("h"), F.col("path").alias("p"), "host_prior",
+        F.col("host").alias("h"), F.col("path").alias("p"), "host_n", "host_good", "host_prior", "n", F.col("good").alias("path_good"),
         ((F.col("good") + by_path * F.col("host_prior")) / (F.col("n") + by_path)).alias("path_prior"),
     )
-    joined = told.join(priors, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p")))
-    posterior = 1 / (1 + F.exp(-(F.col("evidence") + logit(F.col("path_prior")))))
-    return joined.withColumn("posterior", posterior).select(
-        "id", "host", "path", "evidence", "host_prior", "path_prior", "posterior", (F.col("posterior") >= keep).alias("kept")
+    joined = viewed.join(priors, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p")))
+    host_rest = (F.col("host_good") - F.col("good") + by_host * world) / (F.col("host_n") - 1 + by_host)
+    rest = (F.col("path_good") - F.col("good") + by_path * host_rest) / (F.col("n") - 1 + by_path)
+    posterior = 1 / (1 + F.exp(-(F.col("evidence") + logit(F.col("prior")))))
+    return joined.withColumn("prior", rest).withColumn("posterior", posterior).select(
+        "id", "host", "path", "evidence", "host_prior", "path_prior", "prior", "posterior", (F.col("posterior") >= keep).alias("kept")
     )

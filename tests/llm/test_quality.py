@@ -29,11 +29,12 @@ def test_query(spark):
 
 
 def brute_priors(told, labels, base):
-    """Host and path priors from evidence, by plain loops."""
-    views = {}
+    """Host and path priors from evidence, and each document's prior without itself, by plain loops."""
+    views, view = {}, {}
     for row in told:
         good = 1 / (1 + math.exp(-(row["evidence"] + math.log(base / (1 - base)))))
-        views.setdefault((row["host"], row["path"]), []).append(labels.get(row["id"], good))
+        view[row["id"]] = labels.get(row["id"], good)
+        views.setdefault((row["host"], row["path"]), []).append(view[row["id"]])
     hosts = {}
     for (host, _), own in views.items():
         hosts.setdefault(host, []).extend(own)
@@ -49,8 +50,14 @@ def brute_priors(told, labels, base):
 
     s = prior_strength([(own, world) for own in hosts.values()])
     host_prior = {host: (sum(own) + s * world) / (len(own) + s) for host, own in hosts.items()}
-    s = prior_strength([(own, host_prior[host]) for (host, _), own in views.items()])
-    return host_prior, {key: (sum(own) + s * host_prior[key[0]]) / (len(own) + s) for key, own in views.items()}
+    t = prior_strength([(own, host_prior[host]) for (host, _), own in views.items()])
+    path_prior = {key: (sum(own) + t * host_prior[key[0]]) / (len(own) + t) for key, own in views.items()}
+    without = {}
+    for row in told:
+        own, path = hosts[row["host"]], views[row["host"], row["path"]]
+        host = (sum(own) - view[row["id"]] + s * world) / (len(own) - 1 + s)
+        without[row["id"]] = (sum(path) - view[row["id"]] + t * host) / (len(path) - 1 + t)
+    return host_prior, path_prior, without
 
 
 def test_priors_against_brute_force(spark):
@@ -58,11 +65,12 @@ def test_priors_against_brute_force(spark):
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     rows = quality.score(docs, labels).collect()
     known = {row["doc_id"]: row["quality"] for row in labels.collect()}
-    host_prior, path_prior = brute_priors(rows, known, sum(known.values()) / len(known))
+    host_prior, path_prior, without = brute_priors(rows, known, sum(known.values()) / len(known))
     for row in rows:
         assert row["host_prior"] == pytest.approx(host_prior[row["host"]], abs=1e-9)
-        prior = path_prior[row["host"], row["path"]]
-        assert row["path_prior"] == pytest.approx(prior, abs=1e-9)
+        assert row["path_prior"] == pytest.approx(path_prior[row["host"], row["path"]], abs=1e-9)
+        prior = without[row["id"]]
+        assert row["prior"] == pytest.approx(prior, abs=1e-9)
         assert row["posterior"] == pytest.approx(1 / (1 + math.exp(-row["evidence"]) * (1 - prior) / prior), abs=1e-9)
 
 
