@@ -50,6 +50,7 @@ FILTER_BITS = 1 << 26
 _BYTES = np.random.default_rng(2).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.uint64((1 << 17) - 1)
+_PLACES = _PLACE - np.arange(CHUNK + WINDOW, dtype=np.uint64)
 
 
 def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -76,15 +77,15 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
         data = np.frombuffer(text, np.uint8, min(CHUNK + LENGTH - 1, len(text) - begin), begin)
         ids = q_grams(data)
         # The place in the low bits makes the minimum unique, and the last of equal ones.
-        low = (ids & ~_PLACE) | (_PLACE - np.arange(len(ids), dtype=np.uint64))
+        low = ids & ~_PLACE
+        low |= _PLACES[: len(ids)]
         size = 1
         while 2 * size <= WINDOW:
             low, size = np.minimum(low[:-size], low[size:]), 2 * size
         low = np.minimum(low[: len(low) - (WINDOW - size)], low[WINDOW - size :])
-        place = (_PLACE - (low & _PLACE)).astype(np.int64)
-        first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        last = np.r_[first[1:], len(place)] - 1
-        at = place[first]
+        first = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
+        last = np.r_[first[1:], len(low)] - 1
+        at = (_PLACE - (low[first] & _PLACE)).astype(np.int64)
         parts.append((ids[at], at + begin, first + begin, last + begin))
     if not parts:
         none = np.zeros(0, np.int64)
@@ -139,9 +140,16 @@ def bit_filter(keys: DataFrame, column: str, bits: int):
     return keys.sparkSession.sparkContext.broadcast(made)
 
 
-def _class_of(text: bytes, at: int, first: int, last: int) -> tuple[int, int]:
-    """128 bits of all bytes that an anchor's strings cover, and of its place in them."""
-    return _longs(xxhash.xxh3_128_intdigest(text[first : last + LENGTH], seed=at - first))
+def _classes(text: bytes, at: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+    """For each anchor 128 bits of all bytes that its strings cover, and of its place in them."""
+    places = zip(at.tolist(), first.tolist(), last.tolist())
+    return [xxhash.xxh3_128_digest(text[s : e + LENGTH], seed=a - s) for a, s, e in places]
+
+
+def _halves(digests: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of 128 bits as two columns of signed longs."""
+    pairs = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+    return pairs[:, 0].copy(), pairs[:, 1].copy()
 
 
 _ANCHOR_FIELDS = ("bucket", "c1", "c2", "t1", "t2", "at", "first", "last", "n")
@@ -152,16 +160,16 @@ def _anchor_rows(wanted) -> Callable:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            parts = []
             for text, number in _texts(batch).items():
                 ids, at, first, last = anchors(text)
                 keep = np.flatnonzero(in_filter(ids, wanted.value))
                 if len(keep):
-                    key = text_key(text)
-                    for i, a, s, e in zip(ids[keep].view(np.int64).tolist(), at[keep].tolist(), first[keep].tolist(), last[keep].tolist()):
-                        rows.append((i, *_class_of(text, a, s, e), *key, a, s, e, number))
-            if rows:
-                yield _arrays([(name, np.array(column, np.int64)) for name, column in zip(_ANCHOR_FIELDS, zip(*rows))])
+                    at, first, last = at[keep], first[keep], last[keep]
+                    t1, t2, n = (np.full(len(keep), value, np.int64) for value in (*text_key(text), number))
+                    parts.append((ids[keep].view(np.int64), *_halves(_classes(text, at, first, last)), t1, t2, at, first, last, n))
+            if parts:
+                yield _arrays(list(zip(_ANCHOR_FIELDS, map(np.concatenate, zip(*parts)))))
 
     return run
 
@@ -178,21 +186,23 @@ def _block_rows(wanted) -> Callable:
             rows, seen = [], set()
             for text in _texts(batch):
                 ids, at, first, last = anchors(text)
-                for k in np.flatnonzero(in_filter(ids, wanted.value)).tolist():
-                    a, s, e = int(at[k]), int(first[k]), int(last[k])
-                    mark = (int(ids[k].view(np.int64)), *_class_of(text, a, s, e))
+                keep = np.flatnonzero(in_filter(ids, wanted.value))
+                at, first, last = at[keep], first[keep], last[keep]
+                marks = zip(ids[keep].view(np.int64).tolist(), _classes(text, at, first, last))
+                for mark, a, s, e in zip(marks, at.tolist(), first.tolist(), last.tolist()):
                     if mark in seen:
                         continue
                     seen.add(mark)
                     # A string that starts l bytes before the anchor; blocks are of 16 values of l.
                     for base in range((a - e) // STEP * STEP, a - s + 1, STEP):
                         core = a - base
-                        key = _longs(xxhash.xxh3_128_intdigest(text[core : core + CORE]))
+                        key = xxhash.xxh3_128_digest(text[core : core + CORE])
                         low, high = max(base, a - e) - base, min(base + STEP - 1, a - s) - base
                         before = text[max(0, core - high) : core]
-                        rows.append((*mark, *key, low, high, base, before, text[core + CORE : core + CORE + STEP - 1 - low]))
+                        rows.append((*mark, key, low, high, base, before, text[core + CORE : core + CORE + STEP - 1 - low]))
             if rows:
-                columns = list(zip(*rows))
+                bucket, mark, key, *rest = zip(*rows)
+                columns = [bucket, *_halves(mark), *_halves(key), *rest]
                 types = [pa.int64()] * 5 + [pa.int32()] * 3 + [pa.binary()] * 2
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(column, kind) for column, kind in zip(columns, types)],
@@ -205,16 +215,17 @@ def _block_rows(wanted) -> Callable:
 def _string_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each string of a block: 128 bits of its content and its start before the anchor."""
     for batch in batches:
-        rows = []
-        for row in zip(*(column.to_pylist() for column in batch.columns)):
-            bucket, c1, c2, k1, k2, low, high, base, before, after = row
-            head = b"%d %d " % (k1, k2)
-            for i in range(low, high + 1):
-                content = b"%s%d %s%s" % (head, i, before[len(before) - i :], after[: STEP - 1 - i])
-                rows.append((bucket, c1, c2, *_longs(xxhash.xxh3_128_intdigest(content)), base + i))
-        if rows:
-            names = ("bucket", "c1", "c2", "s1", "s2", "l")
-            yield _arrays([(name, np.array(column, np.int64)) for name, column in zip(names, zip(*rows))])
+        digests, places = [], []
+        for k1, k2, low, high, before, after in zip(*(batch.column(i).to_pylist() for i in (3, 4, 5, 6, 8, 9))):
+            head, size = b"%d %d " % (k1, k2), len(before)
+            starts = range(low, high + 1)
+            digests += [xxhash.xxh3_128_digest(b"%s%d %s%s" % (head, i, before[size - i :], after[: STEP - 1 - i])) for i in starts]
+            places += starts
+        if digests:
+            bucket, c1, c2, low, high, base = (batch.column(i).to_numpy() for i in (0, 1, 2, 5, 6, 7))
+            mark = [(name, np.repeat(column, high - low + 1)) for name, column in (("bucket", bucket), ("c1", c1), ("c2", c2))]
+            s1, s2 = _halves(digests)
+            yield _arrays([*mark, ("s1", s1), ("s2", s2), ("l", np.repeat(base, high - low + 1) + np.array(places, np.int64))])
 
 
 def repeated_spans(texts: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -254,15 +265,20 @@ def repeated_spans(texts: DataFrame, filter_bits: int = FILTER_BITS) -> DataFram
     return work.write(hits.groupBy("t1", "t2").agg(F.flatten(F.collect_list("part")).alias("spans")))
 
 
-def merge_spans(spans: list) -> list[tuple[int, int]]:
-    """Sorted, overlapping and touching ranges joined."""
-    merged: list[tuple[int, int]] = []
-    for start, end in sorted((s["start"], s["end"]) for s in spans):
-        if merged and start <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
-        else:
-            merged.append((start, end))
-    return merged
+def merge_spans(spans: pa.ListArray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ranges of each row sorted, overlapping and touching ones joined: where each row's ranges begin (and the
+    last one's end), their starts, their ends. ``sizes`` are the lengths of the rows' texts."""
+    # Rows are laid out one after another with a gap, so that all are merged at once.
+    shift = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes + 1)])
+    moved = np.repeat(shift[:-1], spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    start, end = (part.to_numpy(zero_copy_only=False) + moved for part in spans.flatten().flatten())
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    fresh = np.flatnonzero(np.concatenate([np.ones(min(1, len(start)), bool), start[1:] > reach[:-1]]))
+    start, end = start[fresh], reach[np.concatenate([fresh[1:], [len(reach)]])[: len(fresh)] - 1]
+    bounds = np.searchsorted(start, shift)
+    moved = np.repeat(shift[:-1], np.diff(bounds))
+    return bounds, start - moved, end - moved
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -295,13 +311,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, whole, text, found = (batch.column(i).to_pylist() for i in (1, 2, 3, 4))
-            merged = [merge_spans(spans or []) for spans in found]
+            bounds, starts, ends = merge_spans(batch.column(4), batch.column(1).to_numpy())
+            ranges = list(zip(starts.tolist(), ends.tolist()))
+            before = np.concatenate([np.zeros(1, np.int64), np.cumsum(ends - starts)])
             kept = []
-            for known, data, removed in zip(whole, text, merged):
+            for row, (known, data) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 if known is None:
                     rest, at = hashlib.sha256(), 0
-                    for start, end in removed:
+                    for start, end in ranges[bounds[row] : bounds[row + 1]]:
                         rest.update(data[at:start])
                         at = end
                     rest.update(data[at:])
@@ -311,12 +328,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array([sum(end - start for start, end in spans) for spans in merged], pa.int64()),
-                    pa.array([len(spans) for spans in merged], pa.int64()),
+                    pa.array(np.diff(before[bounds])),
+                    pa.array(np.diff(bounds).astype(np.int64)),
                     pa.array(kept, pa.string()),
-                    pa.array(
-                        [[{"start": start, "end": end} for start, end in spans] for spans in merged],
-                        pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])),
+                    pa.ListArray.from_arrays(
+                        pa.array(bounds, pa.int32()), pa.StructArray.from_arrays([pa.array(starts), pa.array(ends)], ["start", "end"])
                     ),
                 ],
                 ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"],
