@@ -14,9 +14,12 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Collection, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,16 +47,28 @@ def grams_of(word: str, n: int) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """Log frequencies per language: one matrix, with a row for each known word, then for each known gram;
-    ``cut`` counts the pieces of the sample that found no room."""
+    """Log frequencies per language: one matrix, with a row for each of ``pieces``: the known words, ``words_known``
+    in number, then the known grams. ``cut`` counts the pieces of the sample that found no room.
+
+    The pieces are an Arrow column, also on their way to the tasks; the look-ups are made where they are used, which
+    is not the driver.
+    """
 
     languages: list[str]
-    words: dict[str, int]
-    grams: dict[str, int]
+    pieces: pa.Array
+    words_known: int
     logs: np.ndarray
     cut: int = 0
     _unseen: dict[str, list[int]] = field(default_factory=dict, repr=False)
 
+    @cached_property
+    def words(self) -> dict[str, int]:
+        return {piece: i for i, piece in enumerate(self.pieces[: self.words_known].to_pylist())}
+
+    @cached_property
+    def grams(self) -> dict[str, int]:
+        return {piece: i for i, piece in enumerate(self.pieces[self.words_known :].to_pylist(), self.words_known)}
+
     def rows(self, word: str) -> list[int]:
         """Rows whose mean is the evidence of a word: its own, or those of its longest known grams."""
         row = self.words.get(word)
@@ -159,7 +174,7 @@ def learn(
     pairs = training.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     sample, languages = sample_by_language(pairs.filter("lang IS NOT NULL AND text IS NOT NULL"), per_language)
     if not languages:
-        return LanguageModel([], {}, {}, np.zeros((0, 0)))
+        return LanguageModel([], pa.array([], pa.large_string()), 0, np.zeros((0, 0)))
     work = Workspace(training.sparkSession, "language")
     counted = sample.select("lang", "text").mapInPandas(_count_words, "lang STRING, word STRING, times BIGINT")
     words = work.write(counted.groupBy("lang", "word").agg(F.sum("times").alias("times")))
@@ -169,29 +184,26 @@ def learn(
     counts = work.write(both.groupBy("lang", "n", "piece").agg(F.sum("times").alias("times")))
     totals = {(row["lang"], row["n"]): row["times"] for row in counts.groupBy("lang", "n").agg(F.sum("times").alias("times")).collect()}
     different = counts.select("n", "piece").distinct().count()
-    kept = _most_frequent(counts, vocabulary, grams).orderBy("n", "piece").toPandas()
-    row = kept.groupby(["n", "piece"], sort=False).ngroup().to_numpy(int)
-    pieces = kept.drop_duplicates(["n", "piece"])
-    n = pieces["n"].to_numpy(int)
+    # As Arrow columns all the way: as Python rows the pieces would take many times their size in the driver.
+    kept = _most_frequent(counts, vocabulary, grams).select("lang", "n", "piece", "times").orderBy("n", "piece").toArrow()
+    each = kept["piece"].cast(pa.large_string()).combine_chunks()
+    length = kept["n"].to_numpy()
+    first = np.ones(len(each), bool)
+    first[1:] = (length[1:] != length[:-1]) | pc.not_equal(each[1:], each[:-1]).to_numpy(zero_copy_only=False)
+    pieces, n = each.filter(pa.array(first)), length[first]
     times = np.zeros((len(pieces), len(languages)))
-    times[row, pd.Index(languages).get_indexer(kept["lang"])] = kept["times"].to_numpy(float)
+    place = pc.index_in(kept["lang"], value_set=pa.array(languages, kept["lang"].type)).to_numpy()
+    times[np.cumsum(first) - 1, place] = kept["times"].to_numpy()
     sizes = np.bincount(n, minlength=LONGEST + 1)
-    total = np.array([[totals.get((language, length), 0) for language in languages] for length in range(LONGEST + 1)], float)
+    total = np.array([[totals.get((language, size), 0) for language in languages] for size in range(LONGEST + 1)], float)
     logs = np.log((times + SMOOTHING) / (total[n] + SMOOTHING * sizes[n][:, None]))
-    known, words_known = pieces["piece"].tolist(), int(sizes[0])
-    return LanguageModel(
-        languages,
-        {piece: i for i, piece in enumerate(known[:words_known])},
-        {piece: i for i, piece in enumerate(known[words_known:], words_known)},
-        logs,
-        different - len(known),
-    )
+    return LanguageModel(languages, pieces, int(sizes[0]), logs, different - len(pieces))
 
 
 def share(df: DataFrame, model: LanguageModel):
     """The model's fields as a broadcast; ``LanguageModel(*value)`` in a task."""
     return df.sparkSession.sparkContext.broadcast(
-        (model.languages, model.words, model.grams, model.logs)
+        (model.languages, model.pieces, model.words_known, model.logs)
     )
 
 

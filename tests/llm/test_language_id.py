@@ -160,3 +160,21 @@ def test_a_very_long_word(spark):
     assert model.predict("x" * 300_000)[0] == "en" and model.predict("zwei")[0] == "de"
     nothing = language_id.learn(spark.createDataFrame([("!", "fr")], "text STRING, lang STRING"))
     assert nothing.words == {} and nothing.predict("zwei") == ("fr", 1.0)
+
+
+def test_the_driver_holds_columns_not_rows(spark):
+    """Learning many pieces takes little more of the driver's Python than their numbers; look-ups are made in tasks."""
+    import pickle
+    import tracemalloc
+
+    rows = spark.range(30_000).selectExpr("concat(translate(hex(id * 7919), '0123456789', 'ghijklmnop'), 'x') AS text", "'en' AS lang")
+    model = language_id.learn(rows, per_language=30_000)
+    tracemalloc.start()
+    try:
+        again = language_id.learn(rows, per_language=30_000)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(again.logs) > 60_000 and peak < 150 * len(again.logs)
+    assert "words" not in vars(again) and len(pickle.dumps(language_id.share(rows, again).value)) < 30 * len(again.logs)
+    assert list(model.words) == list(again.words) and list(model.grams) == list(again.grams)
