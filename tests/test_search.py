@@ -11,6 +11,7 @@ from broadsheet.operators.filters import near, phrase
 from broadsheet.operators.positions import PositionIndex
 from broadsheet.operators.search_string import SearchStringError, search_column
 from tests.conftest import SMALL
+from tests.test_plans import executions
 
 AS_OF = datetime(2024, 1, 31)
 ROWS = [
@@ -148,3 +149,21 @@ def test_documents(spark, tmp_path):
     for words in ("worthless", "que la", "from the"):
         want = docs.filter(phrase(F.col("text"), words)).select(F.col("doc_id").cast("string").alias("doc"))
         assert ids(index.phrase(words)) == ids(want)
+
+
+def test_documents_are_indexed_without_a_shuffle(spark, indexed, tmp_path):
+    """Postings are written by the task that read the documents, and phrases look words up without a join."""
+    docs, index, _ = indexed
+    before = max(executions(spark))
+    PositionIndex(spark, str(tmp_path / "index")).append(docs, 0)
+    written = [e.physicalPlanDescription() for number, e in executions(spark).items() if number > before]
+    postings = [text for text in written if "/postings/batch=0" in text and "MapInArrow" in text]
+    assert len(postings) == 1 and "Exchange" not in postings[0]
+    assert "Join" not in index.phrase("a b")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_document_landed_twice(spark, tmp_path):
+    index = PositionIndex(spark, str(tmp_path / "index"), buckets=2)
+    rows = [(1, "one two three"), (1, "one two three"), (2, "two  one")]
+    index.append(spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(3), 0)
+    assert ids(index.near(["one", "two"], 1)) == ["1", "2"] and ids(index.near(["one", "three"], 2)) == ["1"]
