@@ -1,6 +1,7 @@
 """Continuous deduplication: a stream of articles to a table without repeated urls and titles.
 
-Urls are a keyed streaming state. An article is kept if its canonical url was not kept within the last
+Urls are a keyed streaming state, in ``BUCKETS`` groups by their hash, so that the state function is called for
+a group of urls and not for each. An article is kept if its canonical url was not kept within the last
 ``window`` of publication time; of a trigger's rows with one url the one of lowest ``ord`` stands for
 them. A url is remembered until the watermark has passed its article's publication by the window,
 so the state holds the urls of window and lateness, however long the stream runs. Articles published
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,30 +32,36 @@ from broadsheet.functions.text import title_key
 from broadsheet.functions.urls import canonical_url
 from broadsheet.storage import path_exists
 
+# Groups of urls that the state is kept by; fixed for the life of a checkpoint.
+BUCKETS = 1 << 15
 KEYS = "title_key STRING, published TIMESTAMP, batch BIGINT, day DATE"
 
 
-def _first_of_url(window_ms: int):
+def _first_of_urls(window_ms: int, names: list[str]):
     """The state function; it travels to the tasks, which need not have this package."""
 
     def run(key, frames, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
         now = state.getCurrentWatermarkMs()
+        known = {url: until for url, until in zip(*state.get) if until > now} if state.exists else {}
         first = None
-        for frame in frames:
-            frame = frame[frame["published_ms"] > now]
-            if len(frame) and (first is None or frame["ord"].min() < first["ord"].iloc[0]):
-                first = frame.loc[[frame["ord"].idxmin()]]
-        until = state.get[0] if state.exists else None
-        if first is not None and (until is None or until <= now):
-            until = int(first["published_ms"].iloc[0]) + window_ms
-            state.update((until,))
-            yield first
-        if until is not None and until > now:
-            # A call without this would leave the state without an end.
-            state.setTimeoutTimestamp(until)
+        if not state.hasTimedOut:
+            for frame in frames:
+                frame = frame[(frame["published_ms"] > now) & ~frame["canon_url"].isin(known)]
+                if first is not None:
+                    frame = pd.concat([first, frame])
+                frame = frame.reset_index(drop=True)
+                first = frame.loc[frame.groupby("canon_url", sort=False)["ord"].idxmin()]
+            if first is not None and len(first):
+                known |= {url: published + window_ms for url, published in zip(first["canon_url"], first["published_ms"].tolist())}
+        if known:
+            state.update((list(known), list(known.values())))
+            # The url that is forgotten first; none of those kept is past the watermark.
+            if min(known.values()) > now:
+                state.setTimeoutTimestamp(min(known.values()))
+        elif state.exists:
+            state.remove()
+        if first is not None and len(first):
+            yield first[names]
 
     return run
 
@@ -74,8 +82,10 @@ def first_urls(articles: DataFrame, window: str, lateness: str) -> DataFrame:
     window_ms = int(keyed.sparkSession.sql(f"SELECT unix_millis(timestamp_millis(0) + INTERVAL {window})").first()[0])
     # A local function: it travels to the tasks, which need not have this package.
     collapsed = keyed.mapInArrow(lambda batches: _collapse(batches), schema).withWatermark("published", lateness)
-    return collapsed.groupBy("canon_url").applyInPandasWithState(
-        _first_of_url(window_ms), schema, "until BIGINT", "append", GroupStateTimeout.EventTimeTimeout
+    grouped = collapsed.withColumn("_bucket", F.pmod(F.xxhash64("canon_url"), F.lit(BUCKETS))).groupBy("_bucket")
+    state = "urls ARRAY<STRING>, untils ARRAY<BIGINT>"
+    return grouped.applyInPandasWithState(
+        _first_of_urls(window_ms, keyed.columns), schema, state, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 

@@ -86,3 +86,16 @@ def test_a_trigger_run_again(spark, tmp_path):
         assert sorted(row["ord"] for row in kept.collect()) == [1, 3]
         assert spark.read.parquet(f"{tmp_path}/titles").count() == 2
     write(spark.createDataFrame([], SCHEMA), 2)
+
+
+def test_the_state_function_is_called_for_groups_of_urls(feed, monkeypatch):
+    """Groups number as set, however many urls there are; each url in them is remembered and forgotten on its own."""
+    monkeypatch.setattr(dedup_stream, "BUCKETS", 4)
+    states = feed.land(*[(i, f"https://a/{i}", f"title {i}", day(i % 10)) for i in range(400)])
+    assert max(state["numRowsTotal"] for state in states) == 4
+    # The watermark is at day 4: urls of days 5 to 9 are known until days 15 to 19.
+    feed.land(*[(1000 + i, f"https://a/{i}", f"again {i}", day(12)) for i in range(400)], (2000, "https://b", "far", day(21)))
+    assert feed.kept() == [*range(400), 2000]
+    # The watermark is at day 16: urls of days 0 to 6 are forgotten.
+    feed.land(*[(3000 + i, f"https://a/{i}", f"more {i}", day(17)) for i in range(400)])
+    assert feed.kept() == [*range(400), 2000, *(3000 + i for i in range(400) if i % 10 <= 6)]
