@@ -17,6 +17,8 @@ from broadsheet.settings import Settings
 from broadsheet.storage import Workspace
 
 Scorer = Callable[[DataFrame], DataFrame]
+# A word is common if it is one in so many of all words of the examples, or more.
+COMMON = 100_000
 
 
 def _matches(settings: Settings) -> list[tuple[Column, int, str]]:
@@ -65,8 +67,8 @@ def model_scorer(model: PipelineModel) -> Scorer:
 
 @dataclass(frozen=True)
 class WordModel:
-    """Words with their log likelihood ratio as a table (``word``, ``ratio``), the ratio of words never seen,
-    and the log odds of the labels."""
+    """Words with their log likelihood ratio as a table (``word``, ``ratio``, ``common``), the ratio of words never seen,
+    and the log odds of the labels. Common words make up one in ``COMMON`` of all or more, so there are ``COMMON`` at most."""
 
     ratios: DataFrame
     unseen: Column
@@ -92,19 +94,25 @@ def fit_word_model(examples: DataFrame) -> WordModel:
     yes_total, no_total = ((total[side] or 0) + total["words"] + 1 for side in ("yes", "no"))
     ratio = F.log((F.col("yes") + 1) / F.lit(float(yes_total))) - F.log((F.col("no") + 1) / F.lit(float(no_total)))
     prior = F.log(F.lit((documents["yes"] + 1.0) / (documents["no"] + 1.0)))
-    return WordModel(counts.select("word", ratio.alias("ratio")), F.log(F.lit(float(no_total) / yes_total)), prior)
+    common = (F.col("yes") + F.col("no")) * COMMON >= F.lit((total["yes"] or 0) + (total["no"] or 0))
+    return WordModel(counts.select("word", ratio.alias("ratio"), common.alias("common")), F.log(F.lit(float(no_total) / yes_total)), prior)
 
 
 def word_scores(items: DataFrame, model: WordModel) -> DataFrame:
     """``ord`` and ``score`` of each item (``ord``, ``text``): the log odds that it is relevant, by the mean of its words.
 
-    Words are counted in each item before they meet the vocabulary, so a frequent word costs one
-    row per item.
+    Common words, at most ``COMMON`` of them whatever the data, are looked up where they stand and leave one sum per
+    item. The others are counted in each item before they meet the rest of the vocabulary, so that a word costs one
+    row per item; only these rows are shuffled.
     """
-    counted = items.select("ord", _words(F.col("text")).alias("word")).groupBy("ord", "word").agg(F.count(F.lit(1)).alias("n"))
-    looked_up = counted.join(model.ratios, "word", "left")
+    common = model.ratios.filter("common").select("word", F.col("ratio").alias("_common"))
+    each = items.select("ord", _words(F.col("text")).alias("word")).join(F.broadcast(common), "word", "left")
+    # A key that is no word and differs by item, so that the sums of common words spread in the join.
+    rest = F.when(F.col("_common").isNotNull(), F.concat(F.lit(" "), F.coalesce(F.col("ord").cast("string"), F.lit("")))).otherwise(F.col("word"))
+    counted = each.groupBy("ord", rest.alias("word")).agg(F.sum("_common").alias("_common"), F.count(F.lit(1)).alias("n"))
+    looked_up = counted.join(model.ratios.filter("NOT common").select("word", "ratio"), "word", "left")
     sums = looked_up.groupBy("ord").agg(
-        (F.sum(F.col("n") * F.coalesce("ratio", model.unseen)) / F.sum("n")).alias("mean")
+        (F.sum(F.coalesce("_common", F.col("n") * F.coalesce("ratio", model.unseen))) / F.sum("n")).alias("mean")
     )
     return items.select("ord").join(sums, "ord", "left").select("ord", (F.coalesce("mean", F.lit(0.0)) * 10 + model.prior).alias("score"))
 

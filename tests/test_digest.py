@@ -229,3 +229,26 @@ def test_stream_across_the_turn_of_the_year(spark, tmp_path):
     assert landed == {1: "20250115", 2: "20260115"}
     window = landing_stream.landed_window(spark, table, FEED_SETTINGS.with_(as_of=datetime(2026, 1, 17)))
     assert [r.ord for r in window.collect()] == [2]
+
+
+def test_common_words_are_not_shuffled(spark, monkeypatch):
+    """The items' common words are summed in place, rare and unseen ones are counted; scores are those of plain counts."""
+    from math import log
+
+    monkeypatch.setattr(relevance, "COMMON", 10)
+    examples = [("aa aa aa aa bb", 1), ("aa bb bb cc dd", 0), ("aa ee", 1)]
+    model = relevance.fit_word_model(spark.createDataFrame(examples, "text STRING, label INT"))
+    assert sorted(row["word"] for row in model.ratios.filter("common").collect()) == ["aa", "bb"]
+    items = [(1, "aa Aa cc zz zz"), (2, "bb"), (3, None), (4, "zz"), (5, "cc"), (5, "dd dd")]
+    scored = relevance.word_scores(spark.createDataFrame(items, "ord LONG, text STRING"), model)
+    yes, no = {"aa": 5, "bb": 1, "ee": 1}, {"aa": 1, "bb": 2, "cc": 1, "dd": 1}
+    ratio = lambda word: log((yes.get(word, 0) + 1) / (7 + 5 + 1)) - log((no.get(word, 0) + 1) / (5 + 5 + 1))
+    want = {1: "aa aa cc zz zz", 2: "bb", 3: "", 4: "zz", 5: "cc dd dd"}
+    for row in scored.collect():
+        words = want[row["ord"]].split()
+        mean = sum(map(ratio, words)) / len(words) if words else 0.0
+        assert abs(row["score"] - (mean * 10 + log(3 / 2))) < 1e-9
+    assert scored.count() == len(items)
+    text = scored._jdf.queryExecution().executedPlan().toString()
+    # Read upwards: the items meet the common words before their first shuffle.
+    assert "BroadcastHashJoin" in text and text.rindex("BroadcastHashJoin") > text.index("HashAggregate")
