@@ -26,10 +26,10 @@ def publish(df: DataFrame, path: str, stage: str, run_ts: str, cap: int | None =
             return
     numbered = number_top(df, cap).select(*COLUMNS)
     target = f"{path}/lists/run_ts={run_ts}/stage={stage}"
-    numbered.write.mode("overwrite").parquet(target)
+    numbered.write.mode("overwrite").parquet(target, compression="zstd")
     if stage == "pre_filtered":
         written = df.sparkSession.read.schema(numbered.schema).parquet(target)
-        written.write.mode("overwrite").parquet(f"{path}/latest")
+        written.write.mode("overwrite").parquet(f"{path}/latest", compression="zstd")
 
 
 def publish_text(numbered: DataFrame, path: str) -> None:

@@ -252,3 +252,19 @@ def test_common_words_are_not_shuffled(spark, monkeypatch):
     text = scored._jdf.queryExecution().executedPlan().toString()
     # Read upwards: the items meet the common words before their first shuffle.
     assert "BroadcastHashJoin" in text and text.rindex("BroadcastHashJoin") > text.index("HashAggregate")
+
+
+def test_a_whole_list_moves_its_texts_once(spark, tmp_path):
+    """Keys that repeat or are null keep their places, parts and all; the texts are no table before they are published."""
+    rows = [(i // 3 if i % 50 else None, f"t{i}", "u", "x", f"202401{i % 2 + 10}", "gdelt", i % 3 or None, "r" * 100) for i in range(3000)]
+    df = spark.createDataFrame(rows, "ord LONG, title STRING, url STRING, domain STRING, seendate STRING, api_source STRING, tier INT, reasoning STRING").repartition(5)
+    numbered = rank.number_wide(df, rows_least=100)
+    assert numbered.rdd.getNumPartitions() > 3
+    found = sorted(numbered.collect(), key=lambda r: r.idx)
+    assert [r.idx for r in found] == list(range(1, 3001)) and sorted(r.title for r in found) == sorted(r[1] for r in rows)
+    low = lambda value: (value is not None, value or 0)
+    keys = [(low(r.tier), -int(r.seendate), low(r.ord)) for r in found]
+    assert keys == sorted(keys)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    # The shuffle of this test's own rows, and one more.
+    assert plan.split("Initial Plan")[-1].count("Exchange") == 2 and "ranking" not in plan
